@@ -71,9 +71,9 @@ class Workspace:
         return V.validate(self.faulted(table), table, self.references(table))
 
     def mart(self, table: str) -> DataFrame:
-        return self._written(f"mart/{table}", lambda: self._build_mart(table))
+        return self._written(f"mart/{table}", lambda: self.build_mart(table))
 
-    def _build_mart(self, table: str) -> DataFrame:
+    def build_mart(self, table: str) -> DataFrame:
         if table == "dim_module_presentation":
             return M.dim_module_presentation(self.clean("courses"))
         if table == "dim_week":

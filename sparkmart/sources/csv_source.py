@@ -71,8 +71,9 @@ def read_source(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
     The header is row 1, so the first record is row 2. The file stays
     splittable: rows are numbered inside each block and moved by the number
-    of rows in earlier blocks, one row per block. A record outside the
-    counted blocks raises an error instead of getting a wrong number.
+    of rows in earlier blocks, one row per block. A source may also be a
+    folder of part files, numbered in file order. A record outside the counted
+    blocks raises an error instead of getting a wrong number.
     """
     schema = raw_schema(table)
     scan = (
@@ -81,16 +82,18 @@ def read_source(spark: SparkSession, folder: str, table: str) -> DataFrame:
         .csv(f"{folder}/{SOURCE_FILES[table]}")
         .select(
             "*",
+            F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_id"),
         )
     )
-    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
-        scan.groupBy("_block")
+        scan.groupBy("_file", "_block")
         .agg(F.min("_id").alias("_first"), F.count("*").alias("_rows"))
         .select(
-            F.col("_block"),
+            "_file",
+            "_block",
             "_first",
             F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
         )
@@ -99,7 +102,7 @@ def read_source(spark: SparkSession, folder: str, table: str) -> DataFrame:
     checked = F.when(number.isNotNull(), number).otherwise(
         F.raise_error(F.lit("row outside the counted file blocks")).cast("bigint")
     )
-    return scan.join(blocks, "_block", "left").select(
+    return scan.join(blocks, ["_file", "_block"], "left").select(
         checked.alias(ROW_NUMBER), *[f.name for f in schema.fields]
     )
 
