@@ -50,31 +50,38 @@ def running_counts(
     )
 
 
+def placed_counts(counts: DataFrame, group: list[str], value: str) -> DataFrame:
+    """Add the rows up to each value (``_cum``) and in its group (``_total``)."""
+    members = Window.partitionBy(*group)
+    upto = members.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    return counts.select(
+        "*", F.sum("n").over(upto).alias("_cum"), F.sum("n").over(members).alias("_total")
+    )
+
+
+def quantile(value: Column, q: float, where: Column | None = None) -> Column:
+    """Aggregate over placed counts: the linearly interpolated quantile."""
+    counted = F.lit(True) if where is None else where
+    position = (F.col("_total") - 1) * F.lit(q)
+    below, above = F.floor(position), F.ceil(position)
+    low = F.min(F.when(counted & (F.col("_cum") > below), value)).cast("double")
+    high = F.min(F.when(counted & (F.col("_cum") > above), value)).cast("double")
+    return low + (high - low) * F.max(F.when(counted, position - below))
+
+
 def quantiles_of_counts(
     counts: DataFrame, group: list[str], value: str, quantiles: dict[str, float]
 ) -> DataFrame:
-    """Linearly interpolated quantiles of ``(group, value, n)`` rows.
+    """Quantiles of ``(group, value, n)`` rows.
 
     Meant for integer measures, whose distinct values are bounded by their
     range however many rows there are.
     """
-    members = Window.partitionBy(*group)
-    upto = members.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    placed = counts.select(
-        *group, value, F.sum("n").over(upto).alias("_cum"), F.sum("n").over(members).alias("_total")
+    return (
+        placed_counts(counts, group, value)
+        .groupBy(*group)
+        .agg(
+            F.max("_total").alias("n"),
+            *[quantile(F.col(value), q).alias(name) for name, q in quantiles.items()],
+        )
     )
-    picks = []
-    for name, q in quantiles.items():
-        position = (F.col("_total") - 1) * F.lit(q)
-        picks += [
-            F.min(F.when(F.col("_cum") > F.floor(position), F.col(value))).alias(f"_lo_{name}"),
-            F.min(F.when(F.col("_cum") > F.ceil(position), F.col(value))).alias(f"_hi_{name}"),
-        ]
-    picked = placed.groupBy(*group).agg(F.max("_total").alias("n"), *picks)
-
-    def interpolated(name: str, q: float) -> Column:
-        low, high = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
-        position = (F.col("n") - 1) * F.lit(q)
-        return (low + (high - low) * (position - F.floor(position))).alias(name)
-
-    return picked.select(*group, "n", *[interpolated(n, q) for n, q in quantiles.items()])

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.functions import calendar as C
-from sparkmart.operators.distribution import quantiles_of_counts
+from sparkmart.operators.distribution import placed_counts, quantile
 from sparkmart.schemas import ACTIVITY_TYPES, COURSEWORK_TYPES
 from sparkmart.sources.numbering import number_rows
 
@@ -488,24 +488,28 @@ def fact_activity_type_week(
     """Clicks, their median per student, students and sites per activity type and week."""
     entity = ["module_presentation_id", "activity_type"]
     marks = activity_marks(click_events(clicks, sites, modules))
-    # One row per distinct click total; everything below reads these counts.
+    # One row per distinct click total of a week; sums and median read the same rows.
     counts = marks.groupBy(*entity, "week_no", "kind", "clicks").agg(F.count("*").alias("n"))
-    weekly = counts.groupBy(*entity, C.mart_week(F.col("week_no")).alias("week_no")).agg(
-        F.sum(F.col("clicks") * F.col("n")).alias("clicks_added"),
-        F.sum(F.when(F.col("week_no") >= C.FIRST_WEEK, F.col("clicks") * F.col("n"))).alias("clicks_week"),
-        F.sum(
-            F.when((F.col("week_no") >= C.FIRST_WEEK) & (F.col("kind") == "student"), F.col("n"))
-        ).alias("students_week"),
-        F.sum(
-            F.when((F.col("week_no") >= C.FIRST_WEEK) & (F.col("kind") == "site"), F.col("n"))
-        ).alias("sites_week"),
+    student = F.col("kind") == "student"
+    weekly = (
+        placed_counts(counts, [*entity, "week_no", "kind"], "clicks")
+        .groupBy(*entity, "week_no")
+        .agg(
+            F.sum(F.col("clicks") * F.col("n")).alias("clicks"),
+            F.sum(F.when(student, F.col("n"))).alias("students"),
+            F.sum(F.when(~student, F.col("n"))).alias("sites"),
+            quantile(F.col("clicks"), 0.5, where=student).alias("median_clicks"),
+        )
+    )
+    # Weeks before the second only add to the running clicks.
+    counted = F.col("week_no") >= C.FIRST_WEEK
+    folded = weekly.groupBy(*entity, C.mart_week(F.col("week_no")).alias("week_no")).agg(
+        F.sum("clicks").alias("clicks_added"),
+        *[
+            F.max(F.when(counted, F.col(c))).alias(f"{c}_week")
+            for c in ("clicks", "students", "sites", "median_clicks")
+        ],
     )
-    medians = quantiles_of_counts(
-        counts.filter((F.col("kind") == "student") & (F.col("week_no") >= C.FIRST_WEEK)),
-        [*entity, "week_no"],
-        "clicks",
-        {"median_clicks": 0.5},
-    ).drop("n")
     grid = (
         module_weeks(modules)
         .join(sites.select(*COURSE, "activity_type").distinct(), COURSE)
@@ -515,8 +519,7 @@ def fact_activity_type_week(
     upto = upto.rowsBetween(Window.unboundedPreceding, 0)
     week = F.col("week_no")
     return (
-        grid.join(weekly, [*entity, "week_no"], "left")
-        .join(medians, [*entity, "week_no"], "left")
+        grid.join(folded, [*entity, "week_no"], "left")
         .select(
             activity_key(
                 F.col("module_presentation_id"), F.col("activity_type"), week
@@ -526,7 +529,7 @@ def fact_activity_type_week(
             "activity_type",
             _zero(F.col("clicks_week")).cast("bigint").alias("click_count_week"),
             F.sum(_zero(F.col("clicks_added"))).over(upto).cast("bigint").alias("click_count_to_week"),
-            F.col("median_clicks").cast("decimal(12,2)").alias("median_student_click_count_week"),
+            F.col("median_clicks_week").cast("decimal(12,2)").alias("median_student_click_count_week"),
             _zero(F.col("students_week")).cast("bigint").alias("active_student_count_week"),
             _zero(F.col("sites_week")).cast("int").alias("accessed_site_count_week"),
         )

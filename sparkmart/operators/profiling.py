@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.functions.encode import ordinal_code, target_code
@@ -146,11 +146,8 @@ def correlation_frame(df: DataFrame) -> DataFrame:
     return df.select(*[encoded.get(c, F.col(c)).cast("bigint").alias(c) for c in CORRELATED])
 
 
-def _with_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Centred average ranks of each column, scaled by the row count.
-
-    Ranks come from value counts, written once and looked up per column.
-    """
+def _written_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Centred average rank of every value of every column, scaled by the row count."""
     members = Window.partitionBy("column_name")
     upto = members.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     total = F.sum("n").over(members)
@@ -162,34 +159,26 @@ def _with_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
         .select("column_name", "value", ((rank - (total + 1) / 2) / total).alias("rank"))
         .write.parquet(folder)
     )
-    ranks = df.sparkSession.read.parquet(folder)
-    for c in columns:
-        lookup = ranks.filter(F.col("column_name") == c).select(
-            F.col("value").alias(c), F.col("rank").alias(f"r_{c}")
-        )
-        df = df.join(lookup, c)
-    return df.select(*[f"r_{c}" for c in columns])
+    return df.sparkSession.read.parquet(folder)
 
 
 def _rank_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Correlations of ranks, looked up per column by value."""
     columns = sorted({c for pair in pairs for c in pair})
-    ranked = _with_ranks(df.select(*columns), columns)
-
-    def product(a: str, b: str) -> Column:
-        return F.sum(F.col(f"r_{a}") * F.col(f"r_{b}"))
-
-    squares = [product(c, c).alias(f"s_{c}") for c in columns]
-    products = [product(a, b).alias(f"p_{i}") for i, (a, b) in enumerate(pairs)]
-    totals = ranked.agg(*squares, *products)
+    ranks = _written_ranks(df, columns)
+    joins = "\n".join(
+        f"JOIN {{ranks}} r_{c} ON r_{c}.column_name = '{c}' AND r_{c}.value = d.{c}" for c in columns
+    )
+    squares = [f"sum(r_{c}.rank * r_{c}.rank) AS s_{c}" for c in columns]
+    products = [f"sum(r_{a}.rank * r_{b}.rank) AS p_{i}" for i, (a, b) in enumerate(pairs)]
     rows = [
-        F.struct(
-            F.lit(a).alias("column_1"),
-            F.lit(b).alias("column_2"),
-            F.try_divide(F.col(f"p_{i}"), F.sqrt(F.col(f"s_{a}") * F.col(f"s_{b}"))).alias("r"),
-        )
+        f"struct('{a}' AS column_1, '{b}' AS column_2, try_divide(p_{i}, sqrt(s_{a} * s_{b})) AS r)"
         for i, (a, b) in enumerate(pairs)
     ]
-    return totals.select(F.inline(F.array(*rows)))
+    statement = f"""
+        SELECT inline(array({", ".join(rows)})) FROM (
+            SELECT {", ".join(squares + products)} FROM {{d}} d {joins})"""
+    return df.sparkSession.sql(statement, d=df, ranks=ranks)
 
 
 def spearman(df: DataFrame) -> DataFrame:

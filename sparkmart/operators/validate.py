@@ -16,8 +16,13 @@ from pyspark.sql import functions as F
 from sparkmart import schemas as S
 from sparkmart.operators.rules import MESSAGES, RULES, Check, Duplicates, Reference, RuleSet
 
-ROW = F.col(S.ROW_NUMBER)
-_VALID = F.size("errors") == 0
+
+def row_number() -> Column:
+    return F.col(S.ROW_NUMBER)
+
+
+def valid() -> Column:
+    return F.size("errors") == 0
 
 
 def error(label: str, code: str) -> Column:
@@ -69,16 +74,16 @@ def _spread(df: DataFrame, name: str, usable: Column) -> Column:
     The join condition also tests ``usable``, so such a value never matches.
     """
     if dict(df.dtypes)[name] == "string":
-        return F.when(usable, F.col(name)).otherwise(F.concat(F.lit("#"), ROW.cast("string")))
-    return F.when(usable, F.col(name)).otherwise(-ROW)
+        return F.when(usable, F.col(name)).otherwise(F.concat(F.lit("#"), row_number().cast("string")))
+    return F.when(usable, F.col(name)).otherwise(-row_number())
 
 
 def _lookup(df: DataFrame, reference: DataFrame, keys: dict[str, str], marker: str) -> DataFrame:
     """Left join to unique reference keys; valid rows with a match get ``marker``."""
     (lead_ref, lead), *others = keys.items()
     probe = f"{marker}_probe"
-    df = df.withColumn(probe, _spread(df, lead, _VALID))
-    condition = (F.col(probe) == reference[lead_ref]) & _VALID
+    df = df.withColumn(probe, _spread(df, lead, valid()))
+    condition = (F.col(probe) == reference[lead_ref]) & valid()
     for ref_column, column in others:
         condition = condition & (F.col(column) == reference[ref_column])
     joined = df.join(reference.withColumn(marker, F.lit(True)), condition, "left")
@@ -101,7 +106,7 @@ def check_references(
         keys = {f"_k{i}_{c}": column for c, column in ref.keys.items()}
         df = _lookup(df, target, keys, f"_found{i}")
         candidates.append(F.when(F.col(f"_found{i}").isNull(), error(ref.label, ref.code)))
-    found = F.when(_VALID, collect_errors(candidates)).otherwise(F.col("errors"))
+    found = F.when(valid(), collect_errors(candidates)).otherwise(F.col("errors"))
     return df.withColumn("errors", found).drop(*[f"_found{i}" for i in range(len(references))])
 
 
@@ -111,24 +116,24 @@ def check_duplicates(df: DataFrame, rule: Duplicates) -> DataFrame:
     Equal signatures (NULLs equal) make an exact, others a conflicting duplicate.
     """
     keys = [f"v_{k}" for k in rule.keys]
-    first = [F.min(ROW).alias("_first_row"), F.count("*").alias("_rows")]
+    first = [F.min(row_number()).alias("_first_row"), F.count("*").alias("_rows")]
     if rule.signature:
         signature = F.struct(*[F.col(f"v_{c}").alias(c) for c in rule.signature])
-        first.append(F.min_by(signature, ROW).alias("_first_signature"))
+        first.append(F.min_by(signature, row_number()).alias("_first_signature"))
     repeated = (
-        df.filter(_VALID)
+        df.filter(valid())
         .groupBy(*[F.col(k).alias(f"_d_{k}") for k in keys])
         .agg(*first)
         .filter(F.col("_rows") > 1)
     )
-    # The most selective key leads, so that rejected rows scatter on it.
-    lead_last = {f"_d_{k}": k for k in reversed(keys)}
-    joined = _lookup(df, repeated, lead_last, "_repeated")
+    # A number leads, so that rejected rows scatter on it.
+    number_first = {f"_d_{k}": k for k in reversed(keys)}
+    joined = _lookup(df, repeated, number_first, "_repeated")
     exact = error(rule.label, "EXACT_DUPLICATE")
     if rule.signature:
         same = signature.eqNullSafe(F.col("_first_signature"))
         exact = F.when(same, exact).otherwise(error(rule.label, "CONFLICTING_DUPLICATE"))
-    later = F.col("_repeated") & (ROW > F.col("_first_row"))
+    later = F.col("_repeated") & (row_number() > F.col("_first_row"))
     return joined.withColumn(
         "errors", F.when(later, F.array(exact)).otherwise(F.col("errors"))
     ).select(*df.columns)
@@ -145,14 +150,14 @@ def validate(raw: DataFrame, table: str, clean: dict[str, DataFrame]) -> DataFra
 
 def route_clean(validated: DataFrame, table: str) -> DataFrame:
     """Typed rows without errors."""
-    return validated.filter(_VALID).select(
+    return validated.filter(valid()).select(
         *[F.col(f"v_{c}").alias(c) for c in S.SOURCE_COLUMNS[table]]
     )
 
 
 def route_quarantine(validated: DataFrame, table: str) -> DataFrame:
     """Untouched raw text of rejected rows with their errors."""
-    return validated.filter(~_VALID).select(
+    return validated.filter(~valid()).select(
         F.lit(S.SOURCE_FILES[table]).alias("source_file"),
         S.ROW_NUMBER,
         *S.SOURCE_COLUMNS[table],
@@ -179,7 +184,7 @@ def reconcile(raw: DataFrame, clean: DataFrame, quarantine: DataFrame, table: st
 
 def error_codes(validated: DataFrame) -> DataFrame:
     """Row number and codes of rejected rows, in order, as flat text."""
-    return validated.filter(~_VALID).select(
+    return validated.filter(~valid()).select(
         S.ROW_NUMBER,
         F.array_join(F.transform("errors", lambda e: F.concat_ws(":", e["column"], e["code"])), ";").alias(
             "errors"

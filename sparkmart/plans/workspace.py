@@ -67,8 +67,11 @@ class Workspace:
         return V.route_quarantine(self.validated(table), table)
 
     def validated_with_faults(self, table: str) -> DataFrame:
-        """Faulted rows against the clean base references, not written."""
-        return V.validate(self.faulted(table), table, self.references(table))
+        """Faulted rows against the clean base references."""
+        return self._written(
+            f"validated_faulted/{table}",
+            lambda: V.validate(self.faulted(table), table, self.references(table)),
+        )
 
     def mart(self, table: str) -> DataFrame:
         return self._written(f"mart/{table}", lambda: self.build_mart(table))
