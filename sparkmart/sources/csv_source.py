@@ -14,25 +14,18 @@ class SourceContractError(ValueError):
     """The source folder or a file header differs from the contract."""
 
 
-def source_file_names(spark: SparkSession, folder: str) -> DataFrame:
-    """Names of the CSV files in a folder, without reading their content."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .load(folder)
-        .select(F.element_at(F.split("path", "/"), -1).alias("file_name"))
-    )
+def source_file_names(spark: SparkSession, folder: str) -> set[str]:
+    """Names of the CSV files in a folder; empty files count, content is not read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return {name for f in files if (name := f.getPath().getName()).endswith(".csv")}
 
 
-def source_set_report(found: DataFrame) -> DataFrame:
+def source_set_problems(found: set[str]) -> list[str]:
     """Declared files that are missing and files that are not declared."""
-    spark = found.sparkSession
-    declared = spark.createDataFrame([(f,) for f in SOURCE_FILES.values()], "file_name string")
-    missing = declared.join(found, "file_name", "left_anti").withColumn("problem", F.lit("missing"))
-    unexpected = found.join(declared, "file_name", "left_anti").withColumn(
-        "problem", F.lit("unexpected")
-    )
-    return missing.unionByName(unexpected)
+    declared = set(SOURCE_FILES.values())
+    missing = [f"missing: {name}" for name in sorted(declared - found)]
+    return missing + [f"unexpected: {name}" for name in sorted(found - declared)]
 
 
 def header_problem(spark: SparkSession, folder: str, table: str) -> str | None:
@@ -49,12 +42,9 @@ def header_problem(spark: SparkSession, folder: str, table: str) -> str | None:
 
 def check_sources(spark: SparkSession, folder: str) -> None:
     """Raise unless the folder holds exactly the declared files and headers."""
-    problems = [
-        f"{row.problem}: {row.file_name}"
-        for row in source_set_report(source_file_names(spark, folder)).collect()
-    ]
+    problems = source_set_problems(source_file_names(spark, folder))
     if problems:
-        raise SourceContractError("; ".join(sorted(problems)))
+        raise SourceContractError("; ".join(problems))
     problems = [p for t in TABLES if (p := header_problem(spark, folder, t))]
     if problems:
         raise SourceContractError("; ".join(problems))
