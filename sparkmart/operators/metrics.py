@@ -104,9 +104,9 @@ def precision_recall_curve(df: DataFrame, slices: list[str] | None = None) -> Da
     slices = slices or []
     ranked = ranked_scores(df, [*slices]).withColumn("_all", F.lit(1))
     keys = [*slices, "_all"]
-    # One row per slice; joined on the slice.
     totals = ranked.groupBy(*keys).agg(F.max("cum_pos").alias("total_pos"))
-    points = ranked.join(totals, keys).select(
+    # Without slices this is exactly one row; with slices the join stays open to the planner.
+    points = ranked.join(totals if slices else F.broadcast(totals), keys).select(
         *slices,
         F.col("score").alias("threshold"),
         _ratio(F.col("cum_pos"), F.col("cum_n")).alias("precision"),
