@@ -11,6 +11,7 @@ import json
 import os
 import sys
 import time
+from functools import partial
 
 from pyspark.sql import SparkSession
 
@@ -19,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from sparkmart import schemas as S  # noqa: E402
 from sparkmart.plans.catalogue import all_queries  # noqa: E402
 from sparkmart.plans.workspace import workspace  # noqa: E402
+from sparkmart.session import in_parallel  # noqa: E402
 
 QUERIES = [
     "v00_error_code_counts",
@@ -64,12 +66,10 @@ def main() -> None:
         times[name] = round(time.perf_counter() - start, 3)
 
     def raw_zone() -> None:
-        for t in S.TABLES:
-            w.raw(t)
+        in_parallel([partial(w.raw, t) for t in S.TABLES])
 
     def clean_zone() -> None:
-        for t in S.TABLES:
-            w.clean(t)
+        in_parallel([partial(w.clean, t) for t in S.TABLES])
 
     def mart_zone() -> None:
         w.marts()

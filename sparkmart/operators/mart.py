@@ -534,3 +534,45 @@ def fact_activity_type_week(
             _zero(F.col("sites_week")).cast("int").alias("accessed_site_count_week"),
         )
     )
+
+
+# Function and inputs (zone, table) of every mart table; dimensions come first.
+BUILDERS = {
+    "dim_module_presentation": (dim_module_presentation, [("clean", "courses")]),
+    "dim_week": (dim_week, [("mart", "dim_module_presentation")]),
+    "dim_assessments": (
+        dim_assessments, [("clean", "assessments"), ("mart", "dim_module_presentation")]
+    ),
+    "dim_student_module_presentation": (
+        dim_student_module_presentation,
+        [
+            ("clean", "student_info"),
+            ("clean", "student_registration"),
+            ("mart", "dim_module_presentation"),
+        ],
+    ),
+    "fact_module_presentation_assessments_week": (
+        fact_assessment_week,
+        [
+            ("clean", "student_assessment"),
+            ("mart", "dim_assessments"),
+            ("mart", "dim_student_module_presentation"),
+            ("mart", "dim_module_presentation"),
+        ],
+    ),
+    "fact_module_presentation_activity_type_week": (
+        fact_activity_type_week,
+        [("clean", "student_vle"), ("clean", "vle"), ("mart", "dim_module_presentation")],
+    ),
+    "fact_student_module_presentation_week": (
+        fact_student_week,
+        [
+            ("clean", "student_vle"),
+            ("clean", "vle"),
+            ("clean", "student_assessment"),
+            ("mart", "dim_assessments"),
+            ("mart", "dim_student_module_presentation"),
+            ("mart", "dim_module_presentation"),
+        ],
+    ),
+}

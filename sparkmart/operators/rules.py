@@ -356,3 +356,18 @@ RULES: dict[str, RuleSet] = {
         duplicates=Duplicates(tuple(S.SOURCE_COLUMNS["student_vle"])),
     ),
 }
+
+
+def referenced_tables(table: str) -> list[str]:
+    return list(dict.fromkeys(r.table for group in RULES[table].references for r in group))
+
+
+def reference_levels() -> list[list[str]]:
+    """Tables grouped so that references of a group lie in earlier groups."""
+    levels: list[list[str]] = []
+    done: set[str] = set()
+    while len(done) < len(RULES):
+        level = [t for t in RULES if t not in done and done.issuperset(referenced_tables(t))]
+        levels.append(level)
+        done.update(level)
+    return levels

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,8 @@ from sparkmart import schemas as S
 from sparkmart.operators import checks, explain, mart, metrics, models, serving
 from sparkmart.operators import validate as V
 from sparkmart.operators.features import FULL, Feature, Preprocessor, fit_preprocessor
-from sparkmart.operators.rules import RULES
-from sparkmart.session import configure
+from sparkmart.operators.rules import reference_levels, referenced_tables
+from sparkmart.session import configure, in_parallel
 from sparkmart.sources.csv_source import read_all_sources
 from sparkmart.sources.publish import (
     Snapshot,
@@ -30,11 +31,10 @@ def init_zones(spark: SparkSession, out: str) -> Snapshot:
     return create_empty_zones(configure(spark), out)
 
 
-def _validate_table(snapshot: Snapshot, table: str, raw: DataFrame) -> None:
+def _validate_table(snapshot: Snapshot, table: str) -> None:
     """Annotate once, route twice, and stop the run unless the counts add up."""
-    clean = {
-        r.table: snapshot.read("clean", r.table) for group in RULES[table].references for r in group
-    }
+    raw = snapshot.read("raw", table)
+    clean = {t: snapshot.read("clean", t) for t in referenced_tables(table)}
     validated = snapshot.write("validated", table, V.validate(raw, table, clean))
     kept = snapshot.write("clean", table, V.route_clean(validated, table))
     rejected = snapshot.write("quarantine", table, V.route_quarantine(validated, table))
@@ -43,37 +43,22 @@ def _validate_table(snapshot: Snapshot, table: str, raw: DataFrame) -> None:
         raise checks.ContractError(f"{table} does not reconcile: {counts.asDict()}")
 
 
-def build_marts(snapshot: Snapshot) -> dict[str, DataFrame]:
-    clean = {t: snapshot.read("clean", t) for t in S.TABLES}
-
-    def stored(table: str, df: DataFrame) -> DataFrame:
-        written = snapshot.write("mart", table, df)
-        require_rows(written, table)
-        return written
-
-    modules = stored("dim_module_presentation", mart.dim_module_presentation(clean["courses"]))
-    marts = {"dim_module_presentation": modules, "dim_week": stored("dim_week", mart.dim_week(modules))}
-    assessments = stored("dim_assessments", mart.dim_assessments(clean["assessments"], modules))
-    students = stored(
-        "dim_student_module_presentation",
-        mart.dim_student_module_presentation(
-            clean["student_info"], clean["student_registration"], modules
-        ),
+def _build_mart(snapshot: Snapshot, table: str) -> None:
+    build, inputs = mart.BUILDERS[table]
+    written = snapshot.write(
+        "mart", table, build(*[snapshot.read(zone, name) for zone, name in inputs])
     )
-    marts |= {"dim_assessments": assessments, "dim_student_module_presentation": students}
-    facts = {
-        "fact_module_presentation_assessments_week": mart.fact_assessment_week(
-            clean["student_assessment"], assessments, students, modules
-        ),
-        "fact_module_presentation_activity_type_week": mart.fact_activity_type_week(
-            clean["student_vle"], clean["vle"], modules
-        ),
-        "fact_student_module_presentation_week": mart.fact_student_week(
-            clean["student_vle"], clean["vle"], clean["student_assessment"],
-            assessments, students, modules,
-        ),
-    }
-    return marts | {table: stored(table, df) for table, df in facts.items()}
+    require_rows(written, table)
+
+
+def build_marts(snapshot: Snapshot) -> dict[str, DataFrame]:
+    """Dimensions in order, then the facts, which do not depend on each other."""
+    facts = [t for t in mart.BUILDERS if t.startswith("fact")]
+    for table in mart.BUILDERS:
+        if table not in facts:
+            _build_mart(snapshot, table)
+    in_parallel([partial(_build_mart, snapshot, t) for t in facts])
+    return marts_of(snapshot)
 
 
 def marts_of(snapshot: Snapshot) -> dict[str, DataFrame]:
@@ -84,12 +69,10 @@ def run_pipeline(spark: SparkSession, src: str, out: str) -> Snapshot:
     """Read, validate and transform a source folder; publish only if all checks pass."""
     configure(spark)
     snapshot = new_snapshot(spark, out)
-    for table, scan in read_all_sources(spark, src).items():
-        raw = snapshot.write("raw", table, scan)
-        _validate_table(snapshot, table, raw) if not RULES[table].references else None
-    for table in S.TABLES:
-        if RULES[table].references:
-            _validate_table(snapshot, table, snapshot.read("raw", table))
+    scans = read_all_sources(spark, src)
+    in_parallel([partial(snapshot.write, "raw", table, scan) for table, scan in scans.items()])
+    for level in reference_levels():
+        in_parallel([partial(_validate_table, snapshot, table) for table in level])
     marts = build_marts(snapshot)
     checks.require_clean(checks.constraint_report(marts))
     checks.validate_serving(serving.predict_frame(marts))

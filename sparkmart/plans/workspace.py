@@ -7,7 +7,10 @@ have exact sizes for the planner's broadcast decision.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
+from functools import partial
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,8 +18,8 @@ from sparkmart import schemas as S
 from sparkmart.operators import mart as M
 from sparkmart.operators import serving
 from sparkmart.operators import validate as V
-from sparkmart.operators.rules import RULES
-from sparkmart.session import configure, scratch_folder
+from sparkmart.operators.rules import referenced_tables
+from sparkmart.session import configure, in_parallel, scratch_folder
 from sparkmart.sources.fixtures import BUILDERS, inject_faults
 from sparkmart.sources.numbering import number_rows
 
@@ -29,34 +32,52 @@ class Workspace:
         self.source = source
         self.folder = scratch_folder(spark, "snapshot")
         self._built: dict[str, DataFrame] = {}
+        self._locks: dict[str, Lock] = defaultdict(Lock)
+
+    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        with self._locks[name]:
+            if name not in self._built:
+                self._built[name] = build()
+            return self._built[name]
 
     def _written(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if name not in self._built:
+        def write() -> DataFrame:
             path = f"{self.folder}/{name}"
             build().write.parquet(path)
-            self._built[name] = self.spark.read.parquet(path)
-        return self._built[name]
+            return self.spark.read.parquet(path)
+
+        return self._once(name, write)
 
     def raw(self, table: str) -> DataFrame:
         """Text columns and dense row numbers; the header counts as row 1."""
-        if f"raw/{table}" not in self._built:
+
+        def build() -> DataFrame:
             df, order = BUILDERS[table](self.spark, self.source)
             numbered = number_rows(df, order, first=2)
-            self._built[f"raw/{table}"] = numbered.select(S.ROW_NUMBER, *S.SOURCE_COLUMNS[table])
-        return self._built[f"raw/{table}"]
+            return numbered.select(S.ROW_NUMBER, *S.SOURCE_COLUMNS[table])
+
+        return self._once(f"raw/{table}", build)
 
     def faulted(self, table: str) -> DataFrame:
         return inject_faults(self.raw(table), table)
 
     def references(self, table: str) -> dict[str, DataFrame]:
-        needed = {r.table for group in RULES[table].references for r in group}
-        return {t: self.clean(t) for t in needed}
+        needed = referenced_tables(table)
+        return dict(zip(needed, in_parallel([partial(self.clean, t) for t in needed])))
+
+    def _validated(self, name: str, rows: Callable[[str], DataFrame], table: str) -> DataFrame:
+        def build() -> DataFrame:
+            raw, clean = in_parallel([partial(rows, table), partial(self.references, table)])
+            return V.validate(raw, table, clean)
+
+        return self._written(f"{name}/{table}", build)
 
     def validated(self, table: str) -> DataFrame:
-        return self._written(
-            f"validated/{table}",
-            lambda: V.validate(self.raw(table), table, self.references(table)),
-        )
+        return self._validated("validated", self.raw, table)
+
+    def validated_with_faults(self, table: str) -> DataFrame:
+        """Faulted rows against the clean base references."""
+        return self._validated("validated_faulted", self.faulted, table)
 
     def clean(self, table: str) -> DataFrame:
         return self._written(
@@ -66,55 +87,17 @@ class Workspace:
     def quarantine(self, table: str) -> DataFrame:
         return V.route_quarantine(self.validated(table), table)
 
-    def validated_with_faults(self, table: str) -> DataFrame:
-        """Faulted rows against the clean base references."""
-        return self._written(
-            f"validated_faulted/{table}",
-            lambda: V.validate(self.faulted(table), table, self.references(table)),
-        )
-
     def mart(self, table: str) -> DataFrame:
         return self._written(f"mart/{table}", lambda: self.build_mart(table))
 
     def build_mart(self, table: str) -> DataFrame:
-        if table == "dim_module_presentation":
-            return M.dim_module_presentation(self.clean("courses"))
-        if table == "dim_week":
-            return M.dim_week(self.mart("dim_module_presentation"))
-        if table == "dim_assessments":
-            return M.dim_assessments(
-                self.clean("assessments"), self.mart("dim_module_presentation")
-            )
-        if table == "dim_student_module_presentation":
-            return M.dim_student_module_presentation(
-                self.clean("student_info"),
-                self.clean("student_registration"),
-                self.mart("dim_module_presentation"),
-            )
-        if table == "fact_module_presentation_activity_type_week":
-            return M.fact_activity_type_week(
-                self.clean("student_vle"), self.clean("vle"), self.mart("dim_module_presentation")
-            )
-        if table == "fact_module_presentation_assessments_week":
-            return M.fact_assessment_week(
-                self.clean("student_assessment"),
-                self.mart("dim_assessments"),
-                self.mart("dim_student_module_presentation"),
-                self.mart("dim_module_presentation"),
-            )
-        if table == "fact_student_module_presentation_week":
-            return M.fact_student_week(
-                self.clean("student_vle"),
-                self.clean("vle"),
-                self.clean("student_assessment"),
-                self.mart("dim_assessments"),
-                self.mart("dim_student_module_presentation"),
-                self.mart("dim_module_presentation"),
-            )
-        raise KeyError(table)
+        """A mart table from its inputs, not stored."""
+        build, inputs = M.BUILDERS[table]
+        zones = {"clean": self.clean, "mart": self.mart}
+        return build(*in_parallel([partial(zones[zone], name) for zone, name in inputs]))
 
     def marts(self) -> dict[str, DataFrame]:
-        return {t: self.mart(t) for t in S.MART_TYPES}
+        return dict(zip(S.MART_TYPES, in_parallel([partial(self.mart, t) for t in S.MART_TYPES])))
 
     def train_frame(self) -> DataFrame:
         return serving.train_frame(self.marts())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from sparkmart.operators import validate as V
 from sparkmart.plans.catalogue import register
 from sparkmart.plans.oracle_base import sql_list, trimmed, typed_integer, whole_number
 from sparkmart.plans.workspace import Workspace
-from sparkmart.session import scratch_folder
+from sparkmart.session import in_parallel, scratch_folder
 from sparkmart.sources.csv_source import read_source
 
 ROW = S.ROW_NUMBER
@@ -317,7 +319,7 @@ def _code_counts(w: Workspace, table: str) -> DataFrame:
 
 register(
     "v00_error_code_counts",
-    lambda w: _union([_code_counts(w, t) for t in S.TABLES]),
+    lambda w: _union(in_parallel([partial(_code_counts, w, t) for t in S.TABLES])),
     " UNION ALL ".join(
         f"""SELECT '{t}' AS table_name, split_part(e, ':', 1) AS column_name, split_part(e, ':', 2) AS code,
             count(*) AS n FROM (SELECT unnest(errors) AS e FROM validated_faulted_{t}) GROUP BY ALL"""

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
 
+Result = TypeVar("Result")
+
 # Runtime settings the plans rely on: adaptive joins turn small sides into
 # broadcasts after measuring them and split skewed partitions of large ones.
 RUNTIME = {
@@ -46,3 +51,11 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared folder; never reused."""
     return f"{shared_folder(spark)}/sparkmart/{name}-{uuid.uuid4().hex}"
+
+
+def in_parallel(actions: list[Callable[[], Result]]) -> list[Result]:
+    """Start independent jobs together, so that small ones do not wait for each other."""
+    if len(actions) < 2:
+        return [action() for action in actions]
+    with ThreadPoolExecutor(len(actions)) as pool:
+        return list(pool.map(lambda action: action(), actions))
