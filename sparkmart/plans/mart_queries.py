@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial, reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,8 +13,12 @@ from sparkmart.operators import checks, serving
 from sparkmart.operators import mart as M
 from sparkmart.operators.distribution import quantiles_of_counts, value_counts
 from sparkmart.operators.features import change_from_previous, with_inactive_streak
+from sparkmart.plans import pipeline
 from sparkmart.plans.catalogue import VIEWS, register
 from sparkmart.plans.workspace import Workspace
+from sparkmart.session import in_parallel, scratch_folder
+from sparkmart.sources.csv_source import write_source
+from sparkmart.sources.publish import current_snapshot
 
 MODULES = "dim_module_presentation"
 STUDENTS = "dim_student_module_presentation"
@@ -145,6 +151,38 @@ register(
        JOIN dim_student_module_presentation USING (student_module_presentation_id)""",
 )
 
+
+
+def _published_run(w: Workspace) -> DataFrame:
+    """A whole run from CSV sources to a published snapshot: rows per zone and table."""
+    source, out = scratch_folder(w.spark, "source"), scratch_folder(w.spark, "out")
+    in_parallel([partial(write_source, w.raw(t), source, t) for t in S.TABLES])
+    pipeline.run_pipeline(w.spark, source, out)
+    snapshot = current_snapshot(w.spark, out)
+    tables = [(z, t) for z in ("raw", "clean", "quarantine") for t in S.TABLES]
+    parts = [
+        snapshot.read(z, t).agg(
+            F.lit(z).alias("zone"), F.lit(t).alias("table_name"), F.count("*").alias("n")
+        )
+        for z, t in [*tables, *[("mart", t) for t in S.MART_TYPES]]
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+register(
+    "s07_s08_published_run",
+    _published_run,
+    " UNION ALL ".join(
+        [f"SELECT 'raw' AS zone, '{t}' AS table_name, count(*) AS n FROM raw_{t}" for t in S.TABLES]
+        + [f"SELECT 'clean', '{t}', count(*) FROM clean_{t}" for t in S.TABLES]
+        + [
+            f"SELECT 'quarantine', '{t}', count(*) FROM validated_raw_{t} WHERE len(errors) > 0"
+            for t in S.TABLES
+        ]
+        + [f"SELECT 'mart', '{t}', count(*) FROM {t}" for t in S.MART_TYPES]
+    ),
+)
+
 # ------------------------------------------------------- scalar functions in use
 
 register(

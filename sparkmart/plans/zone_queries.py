@@ -15,7 +15,7 @@ from sparkmart.plans.catalogue import register
 from sparkmart.plans.oracle_base import sql_list, trimmed, typed_integer, whole_number
 from sparkmart.plans.workspace import Workspace
 from sparkmart.session import in_parallel, scratch_folder
-from sparkmart.sources.csv_source import read_source
+from sparkmart.sources.csv_source import read_source, write_source
 
 ROW = S.ROW_NUMBER
 
@@ -30,10 +30,7 @@ def columns_of(table: str) -> str:
 def csv_round_trip(w: Workspace, table: str) -> DataFrame:
     """Write the raw zone as part files in row order and read it as a source."""
     folder = scratch_folder(w.spark, "csv")
-    (
-        w.raw(table).orderBy(ROW).drop(ROW)
-        .write.options(header=True, escape='"', emptyValue="").csv(f"{folder}/{S.SOURCE_FILES[table]}")
-    )
+    write_source(w.raw(table), folder, table)
     return read_source(w.spark, folder, table)
 
 

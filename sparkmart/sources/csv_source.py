@@ -101,3 +101,13 @@ def read_all_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Check the contract, then read every declared file."""
     check_sources(spark, folder)
     return {table: read_source(spark, folder, table) for table in TABLES}
+
+
+def write_source(raw: DataFrame, folder: str, table: str) -> None:
+    """Write a raw table as a source in row order, as a folder of part files."""
+    (
+        raw.orderBy(ROW_NUMBER)
+        .select(*SOURCE_COLUMNS[table])
+        .write.options(header=True, escape='"', emptyValue="")
+        .csv(f"{folder}/{SOURCE_FILES[table]}")
+    )
