@@ -165,13 +165,24 @@ def vectors(df: DataFrame, preprocessor: Preprocessor) -> DataFrame:
     return _assembler(preprocessor).transform(preprocessor.transform(df)).select(*keys, "features")
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    folder = scratch_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def fit(train: DataFrame, setting: Setting, features: FeatureSet = FULL) -> PipelineModel:
-    """Preprocessing and model as one pipeline that can be saved."""
+    """Preprocessing and model as one pipeline that can be saved.
+
+    The prepared vectors are written first, so that no pass of the fit repeats
+    the joins behind the frame.
+    """
     train = labelled(train)
     preprocessor = fit_preprocessor(train, features)
     stages = [SQLTransformer(statement=preprocessor.statement()), _assembler(preprocessor)]
     prepared = PipelineModel(stages=stages).transform(with_weights(train, setting.balanced))
-    model = setting.estimator(train.count()).fit(prepared.select("label", "weight", "features"))
+    stored = _written(prepared.select("label", "weight", "features"), "training")
+    model = setting.estimator(stored.count()).fit(stored)
     return PipelineModel(stages=[*stages, model])
 
 
@@ -196,12 +207,6 @@ def most_frequent(train: DataFrame, other: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- tuning
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    folder = scratch_folder(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.parquet(folder)
-
-
 def search(
     train: DataFrame,
     validation: DataFrame,
