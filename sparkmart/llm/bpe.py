@@ -14,19 +14,17 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .pretokens import Pretokens
+from .texts import steps
 from .words import U, mix, piece_hashes
 
 #: Keys per bucket of the perfect hash, and pieces that a worker remembers.
 KEYS_PER_BUCKET = 4
 REMEMBERED = 1 << 20
-#: Text bytes that are encoded at once.
-STEP_BYTES = 4 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -179,7 +177,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
-        for batch in _steps(batches):
+        for batch in steps(batches):
             found = Pretokens(batch.column(batch.num_columns - 1))
             pieces, which = known.pieces(found)
             ids = np.array([p[0] for p in pieces], object)
@@ -198,20 +196,6 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     return ready.mapInArrow(run, T.StructType([*(docs.schema[c] for c in rest), *added]))
 
 
-def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches whose last column holds about STEP_BYTES at most, or one row."""
-    for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
-        start, size = 0, 0
-        for i, own in enumerate(sizes.tolist()):
-            if size and size + own > STEP_BYTES:
-                yield batch.slice(start, i - start)
-                start, size = i, 0
-            size += own
-        if start < batch.num_rows:
-            yield batch.slice(start)
-
-
 def decode(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """`docs` with `decoded`, the bytes of the decimal ids in `ids`; null where that is null. An id outside the vocabulary raises."""
     rest = [c for c in docs.columns if c != "decoded"]

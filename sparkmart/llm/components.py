@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from sparkmart.session import scratch_folder
 
 
-def written(frame: DataFrame, name: str) -> DataFrame:
-    """`frame` as a table in the shared folder: later steps read it, whatever executor is lost."""
+def written(frame: DataFrame, name: str, *parts: str) -> DataFrame:
+    """`frame` as a table in the shared folder, in a folder for each value of `parts`: later steps read it, whatever executor is lost."""
     folder = scratch_folder(frame.sparkSession, name)
-    frame.write.parquet(folder)
+    frame.write.partitionBy(*parts).parquet(folder)
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .texts import steps
 from .words import NOT_ALNUM, Words
 
 WINDOW = 13
@@ -163,7 +164,7 @@ def scan(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "ite
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in batches:
+        for batch in steps(batches):
             held.append(batch)
             size += batch.column(batch.num_columns - 1).nbytes
             if size >= SHARD_BYTES:

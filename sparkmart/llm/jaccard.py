@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from . import blobs
 from .components import components, written
 from .substrings import attach
-from .texts import KEYS, distinct_texts, gathered
+from .texts import KEYS, distinct_texts, gathered, steps
 from .words import U, Words, mix, rolling
 
 SHINGLE = 5
@@ -71,7 +71,7 @@ def _rarity(docs: DataFrame, text: str, width: int, bits: int) -> np.ndarray:
 
     def count(batches):
         total = np.zeros(1 << bits, np.int64)
-        for batch in batches:
+        for batch in steps(batches):
             grams, _ = shingle_sets(batch["text"], width)
             total += np.bincount((grams & U((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
         low = (total & 255).astype(np.uint8)
@@ -187,17 +187,16 @@ def _sent(own_bucket: int, texts: pa.Table, ordinals: np.ndarray, pairs: pa.Tabl
 _SENT = "bucket int, a long, partners binary, text string"
 
 
-def _overlaps(texts: pa.Table, ordinals: np.ndarray, sent: pa.Table, width: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def _overlaps(sets: tuple[np.ndarray, np.ndarray], ordinals: np.ndarray, sent: pa.Table, width: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (leader, ordinal here) among the pairs that were sent: overlaps are products of the two incidence blocks."""
     partners = [np.frombuffer(p, np.uint32) for p in sent["partners"].to_pylist()]
     counts = np.fromiter(map(len, partners), np.int64, len(partners))
     leader = np.repeat(np.arange(len(partners)), counts)
     here = np.searchsorted(ordinals, np.concatenate(partners)) if partners else np.zeros(0, np.int64)
-    needed, slot = np.unique(here, return_inverse=True)
-    mine, my_first = shingle_sets(texts["text"].take(pa.array(needed)), width)
+    mine, my_first = sets
     theirs, their_first = shingle_sets(sent["text"], width)
     linked = np.zeros(len(leader), bool)
-    for i, (x, y) in enumerate(zip(leader.tolist(), slot.tolist(), strict=True)):
+    for i, (x, y) in enumerate(zip(leader.tolist(), here.tolist(), strict=True)):
         one, two = theirs[their_first[x] : their_first[x + 1]], mine[my_first[y] : my_first[y + 1]]
         small, big = (one, two) if len(one) <= len(two) else (two, one)
         at = np.searchsorted(big, small)
@@ -262,10 +261,10 @@ def similar_texts(docs: DataFrame, text: str = "text", width: int = SHINGLE, per
         bucket = table["bucket"][0].as_py()
         entries = pa.compute.is_null(sent["partners"])
         pairs, entries = sent.filter(pa.compute.invert(entries)), sent.filter(entries)
-        a, b = _overlaps(own, np.arange(own.num_rows), pairs, width, percent)
+        sets = shingle_sets(own["text"], width)
+        a, b = _overlaps(sets, np.arange(own.num_rows), pairs, width, percent)
         out.add(KIND_LINK, len(a), a=a, b=_refs(bucket, b))
-        _, first = shingle_sets(own["text"], width)
-        out.add(KIND_NODE, own.num_rows, a=_refs(bucket, np.arange(own.num_rows)), size=np.diff(first), **{k: own[k] for k in KEYS})
+        out.add(KIND_NODE, own.num_rows, a=_refs(bucket, np.arange(own.num_rows)), size=np.diff(sets[1]), **{k: own[k] for k in KEYS})
         if entries.num_rows:
             at = np.unique(entries["a"].to_numpy() & 0xFFFFFFFF)
             out.add(KIND_TEXT, len(at), bucket=np.full(len(at), bucket), a=_refs(bucket, at), text=own["text"].take(pa.array(at)))
@@ -278,7 +277,7 @@ def similar_texts(docs: DataFrame, text: str = "text", width: int = SHINGLE, per
     sent = sent.select("bucket", "a", "partners", "text", nothing.alias("gram"), nothing.alias("size")).union(
         said.where(F.col("kind") == KIND_ENTRY).select("bucket", "a", F.lit(None).cast("binary"), F.lit(None).cast("string"), "gram", "size")
     )
-    found = written(texts.groupBy("bucket").cogroup(sent.groupBy("bucket")).applyInArrow(multiply, _Out.SCHEMA), "jaccard")
+    found = written(texts.groupBy("bucket").cogroup(sent.groupBy("bucket")).applyInArrow(multiply, _Out.SCHEMA), "jaccard", "kind")
     links = found.where(F.col("kind") == KIND_LINK).select("a", "b")
     links = _further_links(found, links, width, percent, deal)
     labels = components(links)
@@ -317,7 +316,7 @@ def _further_links(found: DataFrame, links: DataFrame, width: int, percent: int,
             if not table.num_rows or not sent.num_rows:
                 return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
             own = table.sort_by("ref")
-            a, b = _overlaps(own, own["ref"].to_numpy() & 0xFFFFFFFF, sent, width, percent)
+            a, b = _overlaps(shingle_sets(own["text"], width), own["ref"].to_numpy() & 0xFFFFFFFF, sent, width, percent)
             return pa.table({"a": pa.array(a), "b": pa.array(_refs(own["bucket"][0].as_py(), b))})
 
         asked = pairs.select((F.shiftright("a", 32)).cast("int").alias("bucket"), "a", "b")

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import blobs
+from .components import written
+from .texts import steps
 from .words import U, mix, utf8
 
 UNDECIDED = "und"
@@ -119,7 +121,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
             if len(known) > 8:
                 sums[language] = [_counted(np.concatenate([g for g, _ in known]), np.concatenate([c for _, c in known]))]
 
-        for batch in batches:
+        for batch in steps(batches):
             mine = np.array([number.get(x, -1) for x in batch["lang"].to_pylist()])
             for language in np.unique(mine[mine >= 0]).tolist():
                 gram, _ = grams(batch["text"].filter(pa.array(mine == language)))
@@ -135,8 +137,6 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
         return blobs.pack(np.full(len(key), table["bucket"][0].as_py()), 0, {"gram": (key >> 8).astype(np.uint32), "language": (key & 255).astype(np.uint8), "count": counts})
 
     counted = rows.select(F.col(lang).alias("lang"), prepared(F.col(text)).alias("text")).mapInArrow(count, blobs.schema(COUNTS)).groupBy("bucket").applyInArrow(total, blobs.schema(COUNTS))
-    from .components import written
-
     counted = written(counted, "grams")  # a few numbers per distinct n-gram and language
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +197,7 @@ def predict(docs: DataFrame, filters: Filters, text: str = "text", pred: str = "
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = model.value
-        for batch in batches:
+        for batch in steps(batches):
             own = batch.column(batch.num_columns - 1)
             lettered = np.array(own.is_valid())
             counts = np.zeros((len(known.languages), batch.num_rows))

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from .blobs import buckets
 
+#: Text bytes that array operations take at once; a longer text is taken whole.
+STEP_BYTES = 4 << 20
 KEYS = ["text_key_1", "text_key_2"]
 
 
@@ -59,3 +61,17 @@ def gathered(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
     new[1:] = (keys[0][1:] != keys[0][:-1]) | (keys[1][1:] != keys[1][:-1])
     first = np.flatnonzero(new)
     return table.take(pa.array(first)), np.diff(np.append(first, table.num_rows)) > 1
+
+
+def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches whose last column holds about STEP_BYTES at most, or one row."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
+        start, size = 0, 0
+        for i, own in enumerate(sizes.tolist()):
+            if size and size + own > STEP_BYTES:
+                yield batch.slice(start, i - start)
+                start, size = i, 0
+            size += own
+        if start < batch.num_rows:
+            yield batch.slice(start)

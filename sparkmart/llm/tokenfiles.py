@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from sparkmart.session import scratch_folder
 
 from . import blobs
-from .bpe import _steps
 from .components import written
 from .pretokens import Pretokens
+from .texts import steps
 
 #: Ids in a sequence, sequences in a record batch, and pieces that a worker remembers.
 LENGTH, SEQUENCES, REMEMBERED = 2048, 64, 1 << 20
@@ -125,7 +125,7 @@ def write(docs: DataFrame, tokenizer: str, end: int, folder: str, key: str = "do
         name = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.arrow"
         system, path = pyarrow.fs.FileSystem.from_uri(name)
         writer, at, done = None, 0, []
-        for batch in _steps(batches):
+        for batch in steps(batches):
             if writer is None:
                 system.create_dir(path.rpartition("/")[0], recursive=True)
                 writer = _Writer(system.open_output_stream(path), kind, length)
