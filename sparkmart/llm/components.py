@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,3 +38,19 @@ def components(links: DataFrame) -> DataFrame:
         if now == last and now[0] == now[1]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
         last = now
+
+
+def local_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest of 0..n-1 that each is connected with by the edges (a, b)."""
+    out = np.arange(n)
+    while True:
+        low = np.minimum(out[a], out[b])
+        new = out.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        np.minimum.at(new, out[a], low)
+        np.minimum.at(new, out[b], low)
+        new = new[new]
+        if (new == out).all():
+            return out
+        out = new

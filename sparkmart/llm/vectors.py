@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blobs
-from .components import components, written
+from .components import components, local_labels, written
 
 COSINE = 0.95
 #: Leading dimensions that sort and that boxes are kept for; vectors in one interval; rows compared without further splits.
@@ -64,22 +64,6 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest of 0..n-1 that each is connected with by the edges (a, b)."""
-    out = np.arange(n)
-    while True:
-        low = np.minimum(out[a], out[b])
-        new = out.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        np.minimum.at(new, out[a], low)
-        np.minimum.at(new, out[b], low)
-        new = new[new]
-        if (new == out).all():
-            return out
-        out = new
-
-
 class _Meeting:
     """Two intervals (or one with itself) and what is found between them."""
 
@@ -132,7 +116,7 @@ class _Meeting:
         n = self.n + (0 if self.same else len(self.right["x"]))
         if not self.edges:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        labels = _labels(n, np.concatenate([e[0] for e in self.edges]), np.concatenate([e[1] for e in self.edges]))
+        labels = local_labels(n, np.concatenate([e[0] for e in self.edges]), np.concatenate([e[1] for e in self.edges]))
         at = np.flatnonzero(labels != np.arange(n))
         return at, labels[at]
 
