@@ -31,7 +31,7 @@ def language_id(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; of rows that share id and text, one."""
+    """The document with the smallest id of each group of near duplicates; rows that share that id are one document and stay together."""
     found = jaccard.with_components(docs)
     keep = F.col("doc_id").eqNullSafe(F.col("component_id"))
     kept = found.where(keep).select(*docs.columns)

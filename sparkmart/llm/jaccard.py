@@ -352,8 +352,12 @@ def with_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
     Rows without shingles keep their own key, null as it may be; a null key is
     never the smallest of others. Rows of equal texts with shingles are linked.
+    Columns of the two new names are replaced.
     """
-    found = attach(docs, similar_texts(docs, text, width, percent), text)
-    smallest = found.where("n_shingles > 0").groupBy("component").agg(F.min(key).alias("_smallest")).withColumnRenamed("component", "_component")
+    own = docs.select(*(F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(docs.columns)))  # names that can't clash
+    own_key, own_text = (f"kept_{docs.columns.index(c)}" for c in (key, text))
+    found = attach(own, similar_texts(own, own_text, width, percent), own_text)
+    smallest = found.where("n_shingles > 0").groupBy("component").agg(F.min(own_key).alias("_smallest")).withColumnRenamed("component", "_component")
     out = found.join(smallest, (found["component"] == smallest["_component"]) & (found["n_shingles"] > 0), "left")
-    return out.select(*(F.col(f"`{c}`") for c in docs.columns), "n_shingles", F.coalesce("_smallest", key).alias("component_id"))
+    rest = [(i, c) for i, c in enumerate(docs.columns) if c not in ("n_shingles", "component_id")]
+    return out.select(*(F.col(f"kept_{i}").alias(c) for i, c in rest), "n_shingles", F.coalesce("_smallest", own_key).alias("component_id"))
