@@ -12,9 +12,10 @@ fixed size, and hashes decide among equals; it only steers the amount of work.
 2. Leaders travel to the buckets of their partners, where products of the two
    blocks' incidence count overlaps exactly.
 3. Groups of more than `SMALL` that this leaves in several parts make clusters.
-   In each, the documents outside its largest part are multiplied with all of
-   it, in blocks of documents by blocks of n-grams. What is not compared is
-   connected already or ruled out by size.
+   In one of at most `MOST_BLOCKS` blocks, the documents outside its largest
+   part are multiplied with all of it, in blocks of documents by blocks of
+   n-grams. In wider ones, groups get further leaders. Either way is exact:
+   what is not compared is connected already or ruled out by size.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ PERCENT = 75
 SMALL = 16
 #: Documents and n-grams of the blocks that large groups are multiplied in.
 BLOCK, COLUMNS = 1024, 4096
+#: Clusters of more blocks are left to further leaders.
+MOST_BLOCKS = 3
 #: Counters of the rarity table, at least and at most; the table is sent to all tasks with one byte each.
 RARITY_BITS = (18, 26)
 
@@ -289,22 +292,27 @@ def similar_texts(docs: DataFrame, text: str = "text", width: int = SHINGLE, per
 def _further_links(found: DataFrame, links: DataFrame, width: int, percent: int, deal: int) -> DataFrame:
     """Links, as far as they join parts, between documents of large groups that the leaders left in several parts.
 
-    Such groups make clusters. In each, documents outside its largest part are
-    multiplied with all of it, block by block; one task holds two blocks.
+    Such groups make clusters. In one of few blocks, documents outside its
+    largest part are multiplied with all of it, block by block; one task holds
+    two blocks. In a wider one, groups get further leaders instead, which
+    leaves unrelated groups of a cluster alone.
     """
-    entries = found.where(F.col("kind") == KIND_ENTRY).select("gram", F.col("a").alias("ref"))
+    entries = found.where(F.col("kind") == KIND_ENTRY).select("gram", F.col("a").alias("ref"), "size")
     own = entries.select("ref").distinct()
     near = links.join(own.withColumnRenamed("ref", "a"), "a", "left_semi").join(own.withColumnRenamed("ref", "b"), "b", "left_semi")
     parts = components(near)
-    marked = entries.join(parts, entries["ref"] == parts["node"], "left").select("gram", "ref", F.coalesce("label", "ref").alias("part"))
+    marked = entries.join(parts, entries["ref"] == parts["node"], "left").select("gram", "ref", "size", F.coalesce("label", "ref").alias("part"))
     groups = marked.groupBy("gram").agg(F.min("ref").alias("first"), F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("gram", "first")
-    open_ = written(marked.join(groups, "gram").select("ref", "part", "first").distinct(), "open_groups")
+    open_ = written(marked.join(groups, "gram").select("gram", "ref", "size", "part", "first"), "open_groups")
     clusters = components(open_.select(F.col("ref").alias("a"), F.col("first").alias("b")))
     members = open_.select("ref", "part").distinct().join(clusters, F.col("ref") == clusters["node"], "left").select("ref", "part", F.coalesce("label", "ref").alias("cluster"))
     sizes = members.groupBy("cluster", "part").agg(F.count("*").alias("n")).groupBy("cluster").agg(F.max_by("part", "n").alias("largest"), F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
     members = members.join(sizes, "cluster").select("ref", "cluster", "blocks", (F.col("part") != F.col("largest")).alias("outside"), F.pmod(F.xxhash64("ref"), "blocks").cast("int").alias("block"))
-    texts = found.where(F.col("kind") == KIND_TEXT).select(F.col("a").alias("ref"), "text")
-    members = written(members.join(texts, "ref"), "clusters")
+    texts = found.where(F.col("kind") == KIND_TEXT).select("bucket", F.col("a").alias("ref"), "text")
+    placed = written(members, "clusters")
+    wide = placed.where(F.col("blocks") > MOST_BLOCKS).select("ref")
+    links = _led_links(open_.select("gram", "ref", "size").join(wide, "ref", "left_semi"), texts.join(wide, "ref", "left_semi"), links, width, percent, deal)
+    members = placed.where(F.col("blocks") <= MOST_BLOCKS).join(texts.select("ref", "text"), "ref")
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     left = members.where("outside").select("cluster", F.col("block").alias("i"), others.alias("j"), F.lit(True).alias("leads"), "ref", "text")
     right = members.select("cluster", others.alias("i"), F.col("block").alias("j"), F.lit(False).alias("leads"), "ref", "text")
@@ -323,6 +331,85 @@ def _further_links(found: DataFrame, links: DataFrame, width: int, percent: int,
     return links.union(written(more, "links"))
 
 
+def _led_links(entries: DataFrame, texts: DataFrame, links: DataFrame, width: int, percent: int, deal: int) -> DataFrame:
+    """Links that further leaders of the groups in `entries` find, twice as many in each round, until every pair is compared, connected or ruled out."""
+    entries = entries.select("gram", "ref", "size", F.col("ref").alias("label"), F.lit(0).alias("led"))
+    size = 1
+    while True:
+        own = entries.select("ref").distinct()
+        near = links.join(own.withColumnRenamed("ref", "a"), "a", "left_semi").join(own.withColumnRenamed("ref", "b"), "b", "left_semi")
+        labels = components(near)
+        labels = own.join(labels, own["ref"] == labels["node"], "left").select("ref", F.coalesce("label", "ref").alias("label"))
+        elected = written(
+            entries.drop("label").join(labels, "ref").repartition(deal, "gram").groupBy("gram").applyInArrow(_electing(size, percent), "kind int, gram long, ref long, size long, label long, led int, other long"), "leaders"
+        )
+        pairs = elected.where("kind = 0").select(F.col("ref").alias("a"), F.col("other").alias("b")).distinct()
+        if not pairs.head(1):
+            return links
+        entries = elected.where("kind = 1").select("gram", "ref", "size", "label", "led")
+
+        def send(table: pa.Table, asked: pa.Table) -> pa.Table:
+            if not table.num_rows or not asked.num_rows:
+                return pa.table({"bucket": pa.array([], pa.int32()), "a": pa.array([], pa.int64()), "partners": pa.array([], pa.binary()), "text": pa.array([], pa.string())})
+            own = table.sort_by("ref")
+            return _sent(own["bucket"][0].as_py(), own, own["ref"].to_numpy() & 0xFFFFFFFF, asked)
+
+        def multiply(table: pa.Table, sent: pa.Table) -> pa.Table:
+            if not table.num_rows or not sent.num_rows:
+                return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+            own = table.sort_by("ref")
+            a, b = _overlaps(shingle_sets(own["text"], width), own["ref"].to_numpy() & 0xFFFFFFFF, sent, width, percent)
+            return pa.table({"a": pa.array(a), "b": pa.array(_refs(own["bucket"][0].as_py(), b))})
+
+        asked = pairs.select((F.shiftright("a", 32)).cast("int").alias("bucket"), "a", "b")
+        sent = texts.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(send, _SENT)
+        more = texts.groupBy("bucket").cogroup(sent.groupBy("bucket")).applyInArrow(multiply, "a long, b long")
+        links = links.union(written(more, "links"))
+        size *= 2
+
+
+def _electing(most: int, percent: int):
+    """The next leaders of one group, up to `most`, from outside its largest part; or nothing if the group is one part."""
+
+    def elect(table: pa.Table) -> pa.Table:
+        ref, size, label, led = (table[c].to_numpy() for c in ("ref", "size", "label", "led"))
+        order = np.argsort(_priority(ref), kind="stable")
+        ref, size, label, led = ref[order], size[order], label[order], led[order].copy()
+        if not led.any():
+            led[0] = 1  # the leader of the first round
+        open_ = np.flatnonzero(led == 0)
+        parts, counts = np.unique(label[open_], return_counts=True)
+        form = {"kind": pa.int32(), "gram": pa.int64(), "ref": pa.int64(), "size": pa.int64(), "label": pa.int64(), "led": pa.int32(), "other": pa.int64()}
+        if len(parts) < 2:
+            return pa.table({k: pa.array([], t) for k, t in form.items()})
+        outside = open_[label[open_] != parts[counts.argmax()]]
+        _, one_each = np.unique(label[outside], return_index=True)
+        one_each = outside[np.sort(one_each)]
+        leaders = np.concatenate([one_each, np.setdiff1d(outside, one_each)])[:most]
+        a, b = [], []
+        for i in leaders.tolist():
+            led[i] = 1
+            others = np.flatnonzero((led == 0) & (label != label[i]) & _may_link(size, size[i], percent))
+            a.append(np.full(len(others), ref[i]))
+            b.append(ref[others])
+        a, b = np.concatenate(a), np.concatenate(b)
+        n, m = len(a), len(ref)
+        gram = table["gram"][0].as_py()
+        return pa.table(
+            {
+                "kind": pa.array(np.repeat([0, 1], [n, m]).astype(np.int32)),
+                "gram": pa.array(np.full(n + m, gram, np.int64)),
+                "ref": pa.array(np.concatenate([a, ref])),
+                "size": pa.array(np.concatenate([np.zeros(n, np.int64), size])),
+                "label": pa.array(np.concatenate([np.zeros(n, np.int64), label])),
+                "led": pa.array(np.concatenate([np.zeros(n, np.int32), led]).astype(np.int32)),
+                "other": pa.array(np.concatenate([b, np.zeros(m, np.int64)])),
+            }
+        )
+
+    return elect
+
+
 def _product(one: pa.Array, two: pa.Array, refs_one: np.ndarray, refs_two: np.ndarray, width: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Links between two blocks of texts: the product of their incidence matrices, some columns at a time."""
     (grams, first), (other_grams, other_first) = shingle_sets(one, width), shingle_sets(two, width)

@@ -91,7 +91,9 @@ def roots(n: int, links) -> list[int]:
     return [root(i) for i in range(n)]
 
 
-def test_jaccard_equals_brute_force(docs, nothing):
+@pytest.mark.parametrize("blocks", [0, jaccard.MOST_BLOCKS])
+def test_jaccard_equals_brute_force(docs, nothing, monkeypatch, blocks):
+    monkeypatch.setattr(jaccard, "MOST_BLOCKS", blocks)  # 0: every large group by further leaders
     rows = [(r["doc_id"], shingles(r["text"])) for r in docs.orderBy(F.col("doc_id").asc_nulls_last()).collect()]
     links = [(i, j) for i, (_, a) in enumerate(rows) for j, (_, b) in enumerate(rows[:i]) if a and b and 100 * len(a & b) >= 75 * len(a | b)]
     found = roots(len(rows), links)
