@@ -344,7 +344,7 @@ def _led_links(entries: DataFrame, texts: DataFrame, links: DataFrame, width: in
             entries.drop("label").join(labels, "ref").repartition(deal, "gram").groupBy("gram").applyInArrow(_electing(size, percent), "kind int, gram long, ref long, size long, label long, led int, other long"), "leaders"
         )
         pairs = elected.where("kind = 0").select(F.col("ref").alias("a"), F.col("other").alias("b")).distinct()
-        if not pairs.head(1):
+        if not elected.head(1):  # no group is open any more
             return links
         entries = elected.where("kind = 1").select("gram", "ref", "size", "label", "led")
 
