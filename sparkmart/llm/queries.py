@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard, languages, pages, sharding, substrings, tokenfiles, vectors
+from . import bpe, decontaminate, jaccard, languages, licenses, pages, sharding, substrings, tokenfiles, vectors
 
 RANKS, TOKENIZER = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 
@@ -24,6 +24,11 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.attach(docs, found).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(_table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.size("licences").cast("long").alias("n_licences"), F.array_join(F.array_sort(F.array_distinct("licences.name")), ",").alias("licence_names"), "licences")
+
+
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     found = bpe.encode(docs.select("doc_id", "text"), public_tokenizers.path(RANKS))
@@ -79,7 +84,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_substring_dedup, op3_bpe, op4_token_files, op5_main_text, op6_near_vectors, op7_decontaminate, op8_shards, op9_jaccard, op10_language, pipeline)
+    q.__name__: q for q in (op1_substring_dedup, op2_license_scan, op3_bpe, op4_token_files, op5_main_text, op6_near_vectors, op7_decontaminate, op8_shards, op9_jaccard, op10_language, pipeline)
 }
 
 ORACLES: dict[str, str] = {}

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sparkmart.llm import bpe, decontaminate, jaccard, languages, pages, sharding, substrings, tokenfiles, vectors
+from sparkmart.llm import bpe, decontaminate, jaccard, languages, licenses, pages, sharding, substrings, tokenfiles, vectors
 from sparkmart.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -252,3 +252,13 @@ def test_pipeline_stages(spark, docs, nothing):
 
 def test_digest_of_no_items():
     assert decontaminate.digest([]) == hashlib.sha256(b"").hexdigest()
+
+
+def test_licences(spark, docs, nothing):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and so on.\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+    planted = ["Some words.\nLicensed under CC BY-NC 4.0.\nMore words.", "Released under the MIT License. And on.", f"x\n{mit}\ny", "no licence here", "This work is licensed under the GNU General Public License, version 3.", "Licensed under the Apache License, Version 2.0."]
+    got = [[name for name, _, _ in licenses.licences(t)] for t in planted]
+    assert got == [["CC-BY-NC-4.0"], ["MIT"], ["MIT"], [], ["GPL-3"], ["Apache-2.0"]]
+    (_, begin, end), = licenses.licences(planted[0])
+    assert planted[0][begin:end].strip() == "Licensed under CC BY-NC 4.0."
+    assert licenses.scan(docs).where(F.size("licences") > 0).count() == 0 and licenses.scan(nothing).count() == 0
