@@ -24,8 +24,7 @@ def components(links: DataFrame) -> DataFrame:
     skewed joins, so a star of any size is split.
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
-    last = None
-    while True:
+    while not _stars(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -34,10 +33,14 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         edges = written(small.where("u <> v").distinct(), "links")
-        now = edges.agg(F.count("*"), F.count_distinct("u"), F.sum(F.col("v").cast("decimal(38,0)"))).first()
-        if now == last and now[0] == now[1]:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
-        last = now
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node points to one smaller node at most and nothing points to a node that points on; each star is a component then."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("points")), F.struct(F.col("v").alias("node"), F.lit(0).alias("points")))).alias("end"))
+    nodes = ends.groupBy("end.node").agg(F.sum("end.points").alias("out"), F.count("*").alias("n"))
+    return not nodes.where("out > 1 OR (out = 1 AND n > 1)").head(1)
 
 
 def local_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
