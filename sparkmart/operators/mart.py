@@ -18,8 +18,9 @@ from sparkmart.sources.numbering import number_rows
 COURSE = ["code_module", "code_presentation"]
 STUDENT = ["module_presentation_id", "id_student"]
 
-# Fact keys are computed from dimension keys: entity * 1000 + week.
-WEEKS_PER_KEY = 1000
+# Fact keys are computed from dimension keys: entity * 10^9 + week. Lengths are
+# 32-bit days, so weeks stay below 307 million; larger entities than a key holds raise.
+WEEKS_PER_KEY = 1_000_000_000
 
 
 def week_id(week_no: Column) -> Column:
@@ -27,7 +28,7 @@ def week_id(week_no: Column) -> Column:
 
 
 def fact_key(entity: Column, week_no: Column) -> Column:
-    return (entity * WEEKS_PER_KEY + week_no).cast("bigint")
+    return (entity.cast("bigint") * F.lit(WEEKS_PER_KEY) + week_no).cast("bigint")
 
 
 def _zero(column: Column) -> Column:

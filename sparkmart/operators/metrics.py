@@ -28,8 +28,16 @@ def input_problems(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return totals.select(F.inline(F.array(*rows)))
 
 
+def _checked(column: str, good: Column) -> Column:
+    problem = F.raise_error(F.lit(f"{column} is missing or out of range"))
+    return F.when(good, F.col(column)).otherwise(problem).alias(column)
+
+
 def score_counts(df: DataFrame, slices: list[str]) -> DataFrame:
-    return df.groupBy(*slices, "score").agg(
+    """Rows and positives per score; a label other than 0/1 or a score outside 0..1 raises."""
+    score = ~F.isnan("score") & F.col("score").between(0, 1)
+    checked = df.select(*slices, _checked("label", F.col("label").isin(0, 1)), _checked("score", score))
+    return checked.groupBy(*slices, "score").agg(
         F.count("*").alias("n"), F.sum("label").cast("bigint").alias("pos")
     )
 
@@ -64,6 +72,8 @@ def evaluate(
     df: DataFrame, slices: list[str] | None = None, threshold: float = THRESHOLD
 ) -> DataFrame:
     """All metrics, one row per slice (or one row)."""
+    if not 0 <= threshold <= 1:
+        raise ValueError(f"threshold {threshold} is outside 0..1")
     slices = slices or []
     ranked = ranked_scores(df, slices)
     alarm = F.col("score") >= threshold

@@ -59,9 +59,9 @@ def category_counts(df: DataFrame, columns: list[str] = CATEGORICALS) -> DataFra
 
 
 def numeric_counts(df: DataFrame, columns: list[str] = PROFILE_NUMERIC) -> DataFrame:
-    return (
-        long_form(df, columns, "bigint").groupBy("column_name", "value").agg(F.count("*").alias("n"))
-    )
+    """Rows per value of each column, without NULL."""
+    known = long_form(df, columns, "bigint").where(F.col("value").isNotNull())
+    return known.groupBy("column_name", "value").agg(F.count("*").alias("n"))
 
 
 def describe(df: DataFrame, columns: list[str] = PROFILE_NUMERIC) -> DataFrame:

@@ -559,7 +559,7 @@ LEFT JOIN clean_student_assessment r ON r.id_assessment = a.assessment_no AND r.
 GROUP BY g.smp, g.week_no"""
 
 VIEWS["fact_student_module_presentation_week"] = """
-SELECT smp * 1000 + week_no AS student_week_id, smp AS student_module_presentation_id, week_id,
+SELECT CAST(smp AS BIGINT) * 1000000000 + week_no AS student_week_id, smp AS student_module_presentation_id, week_id,
        CAST(coalesce(clicks_week, 0) AS BIGINT) AS click_count_week,
        CAST(coalesce(clicks_to_week, 0) AS BIGINT) AS click_count_to_week,
        CAST(coalesce(days_week, 0) AS INTEGER) AS active_day_count_week,
@@ -593,7 +593,7 @@ WHERE g.due_date < g.end_day
 GROUP BY g.assessment_id, g.week_no"""
 
 VIEWS["fact_module_presentation_assessments_week"] = """
-SELECT g.assessment_id * 1000 + g.week_no AS assessments_week_id, g.assessment_id, g.week_id,
+SELECT CAST(g.assessment_id AS BIGINT) * 1000000000 + g.week_no AS assessments_week_id, g.assessment_id, g.week_id,
        count(*) FILTER (submit_week = g.week_no) AS submitted_student_count_week,
        count(submit_week) AS submitted_student_count_to_week,
        count(*) FILTER (submit_week = g.week_no AND is_late) AS late_student_count_week,
@@ -618,7 +618,7 @@ SELECT module_presentation_id, activity_type, event_week_no AS week_no, count(DI
 FROM click_event GROUP BY ALL"""
 
 VIEWS["fact_module_presentation_activity_type_week"] = f"""
-SELECT CAST((g.module_presentation_id * 100 + list_position([{sql_list(ACTIVITY_TYPES)}], g.activity_type)) * 1000
+SELECT CAST((g.module_presentation_id * 100 + list_position([{sql_list(ACTIVITY_TYPES)}], g.activity_type)) * 1000000000
             + g.week_no AS BIGINT) AS activity_type_week_id,
        g.module_presentation_id, g.week_id, g.activity_type,
        CAST(coalesce((SELECT sum(clicks) FROM student_type_week s WHERE s.week_no = g.week_no

@@ -62,7 +62,7 @@ def read_source(spark: SparkSession, folder: str, table: str) -> DataFrame:
     The header is row 1, so the first record is row 2. The file stays
     splittable: rows are numbered inside each block and moved by the number
     of rows in earlier blocks, one row per block. A source may also be a
-    folder of part files, numbered in file order. A record outside the counted
+    folder of part files, numbered in the order of their part numbers. A record outside the counted
     blocks raises an error instead of getting a wrong number.
     """
     schema = raw_schema(table)
@@ -77,7 +77,9 @@ def read_source(spark: SparkSession, folder: str, table: str) -> DataFrame:
             F.monotonically_increasing_id().alias("_id"),
         )
     )
-    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    # part-100000 comes after part-99999
+    part = F.regexp_extract("_file", r"/part-(\d+)[^/]*$", 1).try_cast("bigint")
+    earlier = Window.orderBy(part, "_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
         scan.groupBy("_file", "_block")
         .agg(F.min("_id").alias("_first"), F.count("*").alias("_rows"))
@@ -98,8 +100,10 @@ def read_source(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def read_all_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Check the contract, then read every declared file."""
+    """Check the contract, then read every declared file; a blank record breaks it."""
     check_sources(spark, folder)
+    if blank := [SOURCE_FILES[t] for t in TABLES if blank_lines(spark, folder, t)]:
+        raise SourceContractError(f"blank records in {', '.join(blank)}")
     return {table: read_source(spark, folder, table) for table in TABLES}
 
 

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from sparkmart.operators import explain, features, metrics, models
+from sparkmart.operators import explain, features, metrics, models, profiling
 from sparkmart.operators.distribution import quantiles_of_counts, running_counts, value_counts
 from sparkmart.session import scratch_folder
 
@@ -144,3 +144,17 @@ def test_search_ranks_settings_by_f2(small):
     settings_ = [models.LogisticSetting(0.01, balanced=True), models.LogisticSetting(1.0)]
     found = models.search(train, validation, settings_, parallelism=2)
     assert {s for s, _ in found} == set(settings_) and found[0][1] >= found[1][1]
+
+
+def test_bad_scores_and_labels_raise(spark):
+    for label, score in ((3, 0.5), (1, 1.5), (1, None), (None, 0.5)):
+        df = spark.createDataFrame([(0, 0.1), (label, score)], "label int, score double")
+        with pytest.raises(Exception, match="missing or out of range"):
+            metrics.evaluate(df).collect()
+
+
+def test_profiles_leave_null_out(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,), (None,), (None,), (None,)], "x int")
+    row = profiling.describe(df, ["x"]).first()
+    assert (row["count"], row["mean"], row["q50"]) == (3, 2.0, 2.0)
+    assert sum(r.n for r in profiling.histogram(df, 3, ["x"]).collect()) == 3

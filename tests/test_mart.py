@@ -167,3 +167,9 @@ def test_serving_contract_finds_breaks(small):
         checks.validate_serving(frame, train=True)
     with pytest.raises(checks.ContractError, match="empty"):
         checks.validate_serving(frame.filter("false"))
+
+
+def test_fact_keys_stay_apart_beyond_a_thousand_weeks(spark):
+    df = spark.createDataFrame([(1, 1005), (2, 5)], "entity int, week int")
+    keys = [r[0] for r in df.select(M.fact_key(F.col("entity"), F.col("week"))).collect()]
+    assert len(set(keys)) == 2

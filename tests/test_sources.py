@@ -77,3 +77,12 @@ def test_numbering_is_dense_with_one_frequent_leading_value(spark):
 
     wrong = numbered.withColumn("e", F.row_number().over(Window.orderBy("a", "b")) + 1).filter("n <> e")
     assert numbered.count() == 9000 and wrong.isEmpty()
+
+
+def test_part_files_are_numbered_by_their_part_number(spark, tmp_path):
+    parts = tmp_path / "courses.csv"
+    parts.mkdir()
+    for i in (99999, 100000):
+        (parts / f"part-{i}.csv").write_text(",".join(S.SOURCE_COLUMNS["courses"]) + f"\nAAA,2013B,{i}\n")
+    rows = C.read_source(spark, str(tmp_path), "courses").orderBy(S.ROW_NUMBER).collect()
+    assert [(r[0], r[3]) for r in rows] == [(2, "99999"), (3, "100000")]
