@@ -39,6 +39,8 @@ PERCENT = 75
 SMALL = 16
 #: Documents and n-grams of the blocks that large groups are multiplied in.
 BLOCK, COLUMNS = 1024, 4096
+#: A column with more than this part of all pairs of two blocks is multiplied as a dense one; pairs counted at once for the others.
+DENSE, PAIRS = 128, 1 << 22
 #: Clusters of more blocks are left to further leaders.
 MOST_BLOCKS = 3
 #: Counters of the rarity table, at least and at most; the table is sent to all tasks with one byte each.
@@ -411,26 +413,55 @@ def _electing(most: int, percent: int):
 
 
 def _product(one: pa.Array, two: pa.Array, refs_one: np.ndarray, refs_two: np.ndarray, width: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between two blocks of texts: the product of their incidence matrices, some columns at a time."""
+    """Links between two blocks of texts by the product of their incidence matrices.
+
+    Columns of many documents are multiplied as dense matrices, some at a time;
+    the few documents of each other column are counted pair by pair.
+    """
     (grams, first), (other_grams, other_first) = shingle_sets(one, width), shingle_sets(two, width)
     size, other_size = np.diff(first), np.diff(other_first)
-    shared = np.intersect1d(grams, other_grams)
-    counts = np.zeros((len(size), len(other_size)), np.float32)
-    owner, other_owner = np.repeat(np.arange(len(size)), size), np.repeat(np.arange(len(other_size)), other_size)
-    for at in range(0, len(shared), COLUMNS):
-        columns = shared[at : at + COLUMNS]
-        counts += _incidence(grams, owner, len(size), columns) @ _incidence(other_grams, other_owner, len(other_size), columns).T
+    n, m = len(size), len(other_size)
+    columns = np.intersect1d(grams, other_grams)
+    rows, begin = _by_column(grams, first, columns)
+    other_rows, other_begin = _by_column(other_grams, other_first, columns)
+    here, there = np.diff(begin), np.diff(other_begin)
+    pairs = here * there
+    dense = pairs * DENSE > n * m
+    counts = np.zeros((n, m), np.float32)
+    full = np.flatnonzero(dense)
+    for at in range(0, len(full), COLUMNS):
+        own = full[at : at + COLUMNS]
+        counts += _incidence(rows, begin, own, n) @ _incidence(other_rows, other_begin, own, m).T
+    thin = np.flatnonzero(~dense)
+    turns = np.cumsum(pairs[thin]) // PAIRS
+    for own in np.split(thin, np.flatnonzero(np.diff(turns)) + 1):
+        column = np.repeat(own, pairs[own])
+        k = np.arange(len(column)) - np.repeat(np.cumsum(pairs[own]) - pairs[own], pairs[own])
+        a = rows[begin[column] + k // there[column]]
+        b = other_rows[other_begin[column] + k % there[column]]
+        counts += np.bincount(a * m + b, minlength=n * m).reshape(n, m)
+    counts = counts.astype(np.int64)
     union = size[:, None] + other_size[None, :] - counts
     return np.nonzero((counts > 0) & (100 * counts >= percent * union) & (refs_one[:, None] != refs_two[None, :]))
 
 
-def _incidence(grams: np.ndarray, owner: np.ndarray, n: int, columns: np.ndarray) -> np.ndarray:
-    """The 0/1 matrix of documents by the given n-grams (sorted)."""
+def _by_column(grams: np.ndarray, first: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The documents that hold each of `columns` (sorted n-grams), column by column, and where each column's begin."""
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
     at = np.searchsorted(columns, grams)
     at[at == len(columns)] = 0
-    hit = columns[at] == grams
+    hit = np.flatnonzero(columns[at] == grams) if len(columns) else np.zeros(0, np.int64)
+    order = hit[np.argsort(at[hit], kind="stable")]
+    return owner[order], np.searchsorted(at[order], np.arange(len(columns) + 1))
+
+
+def _incidence(rows: np.ndarray, begin: np.ndarray, columns: np.ndarray, n: int) -> np.ndarray:
+    """The 0/1 matrix of n documents by the given columns."""
+    counts = begin[columns + 1] - begin[columns]
+    column = np.repeat(np.arange(len(columns)), counts)
+    k = np.arange(len(column)) - np.repeat(np.cumsum(counts) - counts, counts)
     out = np.zeros((n, len(columns)), np.float32)
-    out[owner[hit], at[hit]] = 1
+    out[rows[begin[columns][column] + k], column] = 1
     return out
 
 
