@@ -66,26 +66,22 @@ def _as_rows(totals: DataFrame, names: list[str]) -> DataFrame:
 
 
 def serving_report(df: DataFrame, train: bool = False) -> DataFrame:
-    """All contract checks of a serving frame in one pass over it.
+    """All contract checks of a serving frame.
 
-    Rows are combined per grain, which also shows repeated grains; the second
-    step adds the counters up.
+    Counters are summed before anything is shuffled; only the columns of the
+    grain go to the check for repeated ones.
     """
     structure = column_problems(df, train)
     rows = row_problems(df)
-    counters = [F.count_if(c).alias(f"c{i}") for i, c in enumerate(rows.values())]
-    grains = df.groupBy(*GRAIN).agg(F.count("*").alias("rows"), *counters)
-    names = ["empty frame", "repeated grain", *rows, *structure]
-    values = [
-        F.when(F.sum("rows").isNull(), 1).otherwise(0),
-        F.sum(F.col("rows") - 1),
-        *[F.sum(f"c{i}") for i in range(len(rows))],
-        *[F.lit(n) for n in structure.values()],
-    ]
-    totals = grains.agg(
-        *[F.coalesce(v, F.lit(0)).cast("bigint").alias(f"_{i}") for i, v in enumerate(values)]
+    values = [*[F.count_if(c) for c in rows.values()], *[F.lit(n) for n in structure.values()]]
+    totals = df.agg(*[v.cast("bigint").alias(f"_{i}") for i, v in enumerate(values)])
+    grains = df.groupBy(*GRAIN).agg(F.count("*").alias("rows")).agg(
+        F.when(F.sum("rows").isNull(), 1).otherwise(0).cast("bigint").alias("_0"),
+        F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).cast("bigint").alias("_1"),
+    )
+    return _as_rows(grains, ["empty frame", "repeated grain"]).unionByName(
+        _as_rows(totals, [*rows, *structure])
     )
-    return _as_rows(totals, names)
 
 
 def require_clean(report: DataFrame) -> None:

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Parts of a group of many values that are ordered in tasks of their own.
+RANGES = 4096
+
 
 def value_counts(df: DataFrame, group: list[str], value: str) -> DataFrame:
     return df.groupBy(*group, value).agg(F.count("*").alias("n"))
@@ -59,6 +62,25 @@ def placed_counts(counts: DataFrame, group: list[str], value: str) -> DataFrame:
     )
 
 
+def split_placed_counts(counts: DataFrame, group: list[str], value: str) -> DataFrame:
+    """``placed_counts`` for groups of many whole numbers, without NULL.
+
+    Each group is cut into ``RANGES`` of equal width, so that no task orders
+    more than that part of the numbers between its extremes.
+    """
+    known = counts.where(F.col(value).isNotNull())
+    extremes = known.groupBy(*[F.col(g).alias(f"_e_{g}") for g in group]).agg(
+        F.min(value).alias("_low"), F.max(value).alias("_high"), F.sum("n").alias("_total")
+    )
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_e_{g}"))
+    spread = known.join(extremes, same).drop(*[f"_e_{g}" for g in group])
+    width = F.col("_high").cast("double") - F.col("_low") + 1
+    bucket = F.floor((F.col(value).cast("double") - F.col("_low")) * RANGES / width)
+    return running_counts(spread, group, value, bucket, ["n"]).withColumnRenamed("cum_n", "_cum")
+
+
 def quantile(value: Column, q: float, where: Column | None = None) -> Column:
     """Aggregate over placed counts: the linearly interpolated quantile."""
     counted = F.lit(True) if where is None else where
@@ -72,13 +94,9 @@ def quantile(value: Column, q: float, where: Column | None = None) -> Column:
 def quantiles_of_counts(
     counts: DataFrame, group: list[str], value: str, quantiles: dict[str, float]
 ) -> DataFrame:
-    """Quantiles of ``(group, value, n)`` rows.
-
-    Meant for integer measures, whose distinct values are bounded by their
-    range however many rows there are.
-    """
+    """Quantiles of ``(group, value, n)`` rows of whole numbers."""
     return (
-        placed_counts(counts, group, value)
+        split_placed_counts(counts, group, value)
         .groupBy(*group)
         .agg(
             F.max("_total").alias("n"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.functions.encode import ordinal_code, target_code
-from sparkmart.operators.distribution import quantiles_of_counts
+from sparkmart.operators.distribution import quantiles_of_counts, split_placed_counts
 from sparkmart.schemas import (
     AGE_BANDS,
     CATEGORICALS,
@@ -67,10 +67,9 @@ def numeric_counts(df: DataFrame, columns: list[str] = PROFILE_NUMERIC) -> DataF
 def describe(df: DataFrame, columns: list[str] = PROFILE_NUMERIC) -> DataFrame:
     """Count, mean, sample deviation, extremes and quartiles per column."""
     counts = numeric_counts(df, columns)
-    members = Window.partitionBy("column_name")
-    mean = F.sum(F.col("value") * F.col("n")).over(members) / F.sum("n").over(members)
+    mean = F.sum(F.col("value") * F.col("n")) / F.sum("n")
     moments = (
-        counts.withColumn("mean", mean)
+        counts.join(counts.groupBy("column_name").agg(mean.alias("mean")), "column_name")
         .groupBy("column_name")
         .agg(
             F.max("mean").alias("mean"),
@@ -112,9 +111,10 @@ def box_statistics(df: DataFrame, columns: list[str] = PROFILE_NUMERIC) -> DataF
 def histogram(df: DataFrame, bins: int = 20, columns: list[str] = PROFILE_NUMERIC) -> DataFrame:
     """Rows per equal-width bin between the extremes of each column; 0-based bins."""
     counts = numeric_counts(df, columns)
-    members = Window.partitionBy("column_name")
-    low, high = F.min("value").over(members), F.max("value").over(members)
-    placed = counts.select("*", low.alias("low"), high.alias("high"))
+    extremes = counts.groupBy("column_name").agg(
+        F.min("value").alias("low"), F.max("value").alias("high")
+    )
+    placed = counts.join(extremes, "column_name")
     span = F.col("high") - F.col("low")
     position = F.when(
         span > 0, F.floor((F.col("value") - F.col("low")) * bins / span)
@@ -148,14 +148,11 @@ def correlation_frame(df: DataFrame) -> DataFrame:
 
 def _written_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
     """Centred average rank of every value of every column, scaled by the row count."""
-    members = Window.partitionBy("column_name")
-    upto = members.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum("n").over(members)
-    rank = F.sum("n").over(upto) - (F.col("n") - 1) / 2
+    rank = F.col("_cum") - (F.col("n") - 1) / 2
+    total = F.col("_total")
     folder = scratch_folder(df.sparkSession, "ranks")
     (
-        numeric_counts(df, columns)
-        .filter(F.col("value").isNotNull())
+        split_placed_counts(numeric_counts(df, columns), ["column_name"], "value")
         .select("column_name", "value", ((rank - (total + 1) / 2) / total).alias("rank"))
         .write.parquet(folder)
     )
@@ -187,7 +184,9 @@ def spearman(df: DataFrame) -> DataFrame:
     Ties get average ranks. A pair with ``imd_band`` uses the rows where it is
     known, with ranks among those rows.
     """
-    frame = correlation_frame(df)
+    folder = scratch_folder(df.sparkSession, "correlated")
+    correlation_frame(df).write.parquet(folder)
+    frame = df.sparkSession.read.parquet(folder)
     pairs = list(combinations(CORRELATED, 2))
     partial = [p for p in pairs if "imd_band" in p]
     complete = [p for p in pairs if "imd_band" not in p]
