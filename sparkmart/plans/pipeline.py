@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime, timezone
+from dataclasses import asdict, dataclass
 from functools import partial
 
 from pyspark.ml import PipelineModel
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sparkmart import schemas as S
 from sparkmart.operators import checks, explain, mart, metrics, models, serving
 from sparkmart.operators import validate as V
-from sparkmart.operators.features import FULL, Feature, Preprocessor, fit_preprocessor
+from sparkmart.operators.features import Feature, Preprocessor, fit_preprocessor
 from sparkmart.operators.rules import reference_levels, referenced_tables
 from sparkmart.session import configure, in_parallel
 from sparkmart.sources.csv_source import read_all_sources
@@ -83,6 +83,15 @@ def run_pipeline(spark: SparkSession, src: str, out: str) -> Snapshot:
 # ------------------------------------------------------------------ artifact
 
 
+@dataclass(frozen=True)
+class Trained:
+    """What predictions need to know of a model, and how it did on the test presentation."""
+
+    threshold: float
+    processed_features: list[str]
+    test_metrics: dict
+
+
 def save_artifact(
     spark: SparkSession,
     folder: str,
@@ -91,23 +100,28 @@ def save_artifact(
     background: DataFrame,
     metadata: dict,
 ) -> None:
-    model.write().overwrite().save(f"{folder}/model")
-    background.write.mode("overwrite").parquet(f"{folder}/background")
+    """Write an artifact of its own run; it becomes the current one when all of it is there."""
+    snapshot = new_snapshot(spark, folder)
+    model.write().save(snapshot.path("artifact", "model"))
+    snapshot.write("artifact", "background", background)
     features = [(f.group, f.name, f.column, f.sql) for f in preprocessor.features]
-    row = [(json.dumps(metadata), json.dumps(features))]
-    spark.createDataFrame(row, "metadata string, features string").write.mode(
-        "overwrite"
-    ).parquet(f"{folder}/metadata")
+    row = [(json.dumps({"run_id": snapshot.run_id, **metadata}), json.dumps(features))]
+    about = spark.createDataFrame(row, "metadata string, features string")
+    snapshot.write("artifact", "metadata", about)
+    publish(snapshot)
 
 
 def load_artifact(spark: SparkSession, folder: str) -> dict:
-    row = spark.read.parquet(f"{folder}/metadata").first()
+    """The artifact published last."""
+    snapshot = current_snapshot(spark, folder)
+    about = snapshot.read("artifact", "metadata").first()
+    model_folder = snapshot.path("artifact", "model")
     return {
-        "model": PipelineModel.load(f"{folder}/model"),
-        "model_folder": f"{folder}/model",
-        "background": spark.read.parquet(f"{folder}/background"),
-        "metadata": json.loads(row.metadata),
-        "preprocessor": Preprocessor(tuple(Feature(*f) for f in json.loads(row.features))),
+        "model": PipelineModel.load(model_folder),
+        "model_folder": model_folder,
+        "background": snapshot.read("artifact", "background"),
+        "metadata": json.loads(about.metadata),
+        "preprocessor": Preprocessor(tuple(Feature(*f) for f in json.loads(about.features))),
     }
 
 
@@ -128,23 +142,7 @@ def train(
     sample = explain.seeded_sample(
         used, "module_presentation_student_week_id", explain.BACKGROUND_ROWS, models.SEED
     )
-    metadata = {
-        "model_name": type(model.stages[-1]).__name__,
-        "hyperparameters": vars(setting),
-        "threshold": S.THRESHOLD,
-        "target": "final_result",
-        "target_mapping": S.TARGET_CODES,
-        "excluded_class": "Withdrawn",
-        "prediction_unit": "student-module-presentation-week",
-        "first_prediction_week": 2,
-        "training_presentations": [models.TRAIN, models.VALIDATION],
-        "test_presentation": models.TEST,
-        "random_state": models.SEED,
-        "raw_features": FULL.columns,
-        "processed_features": preprocessor.names,
-        "test_metrics": result.asDict(),
-        "created_at": datetime.now(timezone.utc).isoformat(timespec="seconds"),
-    }
+    metadata = asdict(Trained(S.THRESHOLD, preprocessor.names, result.asDict()))
     save_artifact(
         spark, f"{out}/model", model, preprocessor,
         models.vectors(models.labelled(sample), preprocessor), metadata,
