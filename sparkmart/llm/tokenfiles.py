@@ -9,12 +9,14 @@ their keys; a manifest, a Parquet table, says where each begins.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,18 +38,21 @@ def _library(file: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(file)
-    tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-    return tokenizer, {}
+    added = [token.content for token in tokenizer.get_added_tokens_decoder().values() if token.content]
+    return tokenizer, {}, "|".join(map(re.escape, added))
 
 
 def encoded(file: str, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each followed by `end`, and where each text's begin (one place more than texts).
 
     The library encodes every pre-token that it hasn't seen yet by itself,
-    which is what it does inside whole texts; others are looked up.
+    which is what it does inside whole texts; others are looked up. A text in
+    which the name of an added token stands goes to the library as a whole.
     """
-    tokenizer, remembered = _library(file)
-    found = Pretokens(texts)
+    tokenizer, remembered, added = _library(file)
+    named = pc.match_substring_regex(texts, added) if added else pa.array(np.zeros(len(texts), bool))
+    marked = np.flatnonzero(named.to_numpy(zero_copy_only=False))
+    found = Pretokens(pc.if_else(named, "", texts) if len(marked) else texts)
     pieces, which = found.distinct()
     new = [p for p in pieces if p not in remembered]
     if len(remembered) + len(new) > REMEMBERED:
@@ -69,6 +74,13 @@ def encoded(file: str, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarra
     before = np.concatenate([[0], np.cumsum(counts)])[found.first]
     bounds = before + np.arange(len(found.first))
     out[bounds[1:] - 1] = end
+    if len(marked):
+        whole, at, more = [], 0, np.zeros(len(bounds), np.int64)
+        for i in marked.tolist():
+            ids = np.array(tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, np.uint32)
+            whole += [out[at : bounds[i]], ids]
+            at, more[i + 1] = bounds[i], len(ids)
+        out, bounds = np.concatenate([*whole, out[at:]]), bounds + np.cumsum(more)
     return out, bounds
 
 
@@ -147,7 +159,7 @@ def write(docs: DataFrame, tokenizer: str, end: int, folder: str, key: str = "do
 
 
 def _largest_id(tokenizer: str, end: int) -> int:
-    library, _ = _library(tokenizer)
+    library, _, _ = _library(tokenizer)
     return max(end, max(library.get_vocab(with_added_tokens=True).values(), default=0))
 
 
