@@ -31,11 +31,8 @@ def language_id(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; rows that share that id are one document and stay together."""
-    found = jaccard.with_components(docs)
-    keep = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    kept = found.where(keep).select(*docs.columns)
-    return kept
+    """One row of each group of near duplicates, that with the smallest id; rows that share an id or have none are told apart by their texts."""
+    return jaccard.first_rows(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

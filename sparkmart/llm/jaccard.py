@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from . import blobs
 from .components import components, local_labels, written
 from .substrings import attach
-from .texts import KEYS, distinct_texts, gathered, steps
+from .texts import KEYS, distinct_texts, gathered, steps, text_keys
 from .words import U, Words, mix, rolling
 
 SHINGLE = 5
@@ -479,3 +479,21 @@ def with_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     out = found.join(smallest, (found["component"] == smallest["_component"]) & (found["n_shingles"] > 0), "left")
     rest = [(i, c) for i, c in enumerate(docs.columns) if c not in ("n_shingles", "component_id")]
     return out.select(*(F.col(f"kept_{i}").alias(c) for i, c in rest), "n_shingles", F.coalesce("_smallest", own_key).alias("component_id"))
+
+
+def first_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row of each group of linked texts: that of the smallest key, nulls last; among equal keys hashes of the text, then of the row decide.
+
+    Groups are told apart by their texts, not by their smallest key, which may
+    be null or stand in several. Rows without shingles link with nothing and
+    stay, but repeated ones stay once.
+    """
+    own = docs.select(*(F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(docs.columns)))  # names that can't clash
+    own_key, own_text = (f"kept_{docs.columns.index(c)}" for c in (key, text))
+    found = attach(own, similar_texts(own, own_text, width, percent), own_text)
+    whole = F.xxhash64(*(c for c in own.columns if "map<" not in own.schema[c].dataType.simpleString()))
+    order = F.struct(F.col(own_key).isNull().alias("last"), F.col(own_key), *text_keys(F.col(own_text)), whole.alias("whole"))
+    alone = F.when(F.col("n_shingles") == 0, F.struct(F.col(own_key).alias("key"), whole.alias("whole")))
+    # combined before the shuffle: a group sends one row per task
+    first = found.groupBy("component", alone.alias("alone")).agg(F.min_by(F.struct(*own.columns), order).alias("row"))
+    return first.select(*(F.col(f"row.kept_{i}").alias(c) for i, c in enumerate(docs.columns)))
