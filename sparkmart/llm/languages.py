@@ -3,7 +3,8 @@
 Every language has a Bloom filter of its characteristic n-grams. The filters
 are stored bit-sliced: one array whose element i holds bit i of all filters,
 so that two look-ups and an AND give all languages that contain an n-gram.
-A text counts hits for each language, takes off the false positives to be
+More than 64 languages take several such arrays, one per 64 of them. A text
+counts hits for each language, takes off the false positives to be
 expected from how full its filter is, and goes to the language with most.
 """
 
@@ -31,7 +32,8 @@ HASHES = 2
 CHARACTERISTIC = 0.5
 #: N-grams rarer than this among a language's are left out.
 RAREST = 1e-6
-MOST_LANGUAGES = 64
+#: Languages of one block of filters, the bits of one word.
+BLOCK = 64
 
 #: Bytes apart from ASCII letters (lower case by then) and longer characters count as space.
 LETTERS = np.full(256, 0x20, np.uint8)
@@ -39,7 +41,10 @@ LETTERS[0x61:0x7B] = np.arange(0x61, 0x7B)
 LETTERS[0x41:0x5B] = np.arange(0x61, 0x7B)
 LETTERS[0x80:] = np.arange(0x80, 0x100)
 
-COUNTS = {"gram": np.uint32, "language": np.uint8, "count": np.int64}
+
+
+def _counts(languages: int) -> dict[str, type]:
+    return {"gram": np.uint32, "language": np.uint8 if languages <= 256 else np.uint32, "count": np.int64}
 
 
 def prepared(text: Column) -> Column:
@@ -78,20 +83,27 @@ def _places(gram: np.ndarray) -> list[np.ndarray]:
     return [((one >> U(shift)) & U((1 << FILTER_BITS) - 1)).astype(np.int64) for shift in range(0, 24 * HASHES, 24)]
 
 
+def _kinds(languages: int) -> list[type]:
+    """The words of each block of filters: the smallest that have a bit for each of its languages."""
+    sizes = [min(BLOCK, languages - first) for first in range(0, languages, BLOCK)]
+    return [next(k for k, n in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64)) if size <= n) for size in sizes]
+
+
 @dataclass
 class Filters:
-    """`languages`, most frequent first; `bits`: the sliced filters; `wrong`: chance that a filter holds a foreign n-gram."""
+    """`languages`, most frequent first; `blocks`: the sliced filters of 64 languages each; `wrong`: chance that a filter holds a foreign n-gram."""
 
     languages: list[str]
-    bits: np.ndarray
+    blocks: list[np.ndarray]
     wrong: np.ndarray
 
-    def hits(self, gram: np.ndarray) -> np.ndarray:
-        """The set of languages of each n-gram, one bit each."""
-        first, *rest = _places(gram)
-        out = self.bits[first]
+    def hits(self, places: list[np.ndarray], block: int) -> np.ndarray:
+        """The set of languages of one block that each n-gram, given by its places, is in, one bit each."""
+        first, *rest = places
+        bits = self.blocks[block]
+        out = bits[first]
         for place in rest:
-            out &= self.bits[place]
+            out &= bits[place]
         return out
 
 
@@ -99,16 +111,16 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
     """Filters learned from all rows of `labelled` that have a text and a language.
 
     Counts are summed by Spark over all rows. The driver gets the languages
-    with their row numbers, of which at most 64 (the most frequent ones) are
-    taken, and the finished filters, whose size is fixed. Without any labelled
+    with their row numbers and the finished filters, half a megabyte for each
+    language. Without any labelled
     row there are no languages, and every text is undecided.
     """
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    frequent = rows.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    frequent = rows.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()
     languages = [r["lang"] for r in frequent]
-    kind = next(k for k, n in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64)) if len(languages) <= n)
     if not languages:
-        return Filters([], np.zeros(1 << FILTER_BITS, kind), np.zeros(0))
+        return Filters([], [], np.zeros(0))
+    kinds, layout = _kinds(len(languages)), _counts(len(languages))
     n = blobs.partitions(labelled)
     number = {name: i for i, name in enumerate(languages)}
 
@@ -128,21 +140,21 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
                 add(language, _counted(gram))
         for language, known in sums.items():
             gram, counts = _counted(np.concatenate([g for g, _ in known]), np.concatenate([c for _, c in known]))
-            table = blobs.pack((mix(gram.astype(U)) % U(n)).astype(np.int64), language, {"gram": gram, "language": np.full(len(gram), language, np.uint8), "count": counts.astype(np.int64)})
+            table = blobs.pack((mix(gram.astype(U)) % U(n)).astype(np.int64), language, {"gram": gram, "language": np.full(len(gram), language, layout["language"]), "count": counts.astype(np.int64)})
             yield from table.to_batches()
 
     def total(table: pa.Table) -> pa.Table:
-        _, got = blobs.unpack(table, COUNTS)
-        key, counts = _counted(got["gram"].astype(np.int64) * 256 + got["language"], got["count"])
-        return blobs.pack(np.full(len(key), table["bucket"][0].as_py()), 0, {"gram": (key >> 8).astype(np.uint32), "language": (key & 255).astype(np.uint8), "count": counts})
+        _, got = blobs.unpack(table, layout)
+        key, counts = _counted(got["gram"].astype(np.int64) << 31 | got["language"].astype(np.int64), got["count"])
+        return blobs.pack(np.full(len(key), table["bucket"][0].as_py()), 0, {"gram": (key >> 31).astype(np.uint32), "language": (key & 0x7FFFFFFF).astype(layout["language"]), "count": counts})
 
-    counted = rows.select(F.col(lang).alias("lang"), prepared(F.col(text)).alias("text")).mapInArrow(count, blobs.schema(COUNTS)).groupBy("bucket").applyInArrow(total, blobs.schema(COUNTS))
+    counted = rows.select(F.col(lang).alias("lang"), prepared(F.col(text)).alias("text")).mapInArrow(count, blobs.schema(layout)).groupBy("bucket").applyInArrow(total, blobs.schema(layout))
     counted = written(counted, "grams")  # a few numbers per distinct n-gram and language
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros(len(languages), np.int64)
         for batch in batches:
-            _, got = blobs.unpack(pa.table(batch), COUNTS)
+            _, got = blobs.unpack(pa.table(batch), layout)
             out += np.bincount(got["language"], got["count"], len(languages)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(range(len(languages)), pa.int32()), pa.array(out)], names=["language", "n"])
 
@@ -154,31 +166,36 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
     per = (1 << FILTER_BITS) // slices
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << FILTER_BITS, kind)
+        blocks = [np.zeros(1 << FILTER_BITS, kind) for kind in kinds]
         for batch in batches:
-            _, got = blobs.unpack(pa.table(batch), COUNTS)
+            _, got = blobs.unpack(pa.table(batch), layout)
             gram, at = np.unique(got["gram"], return_inverse=True)
-            share = np.zeros((len(gram), len(languages)))
-            share[at, got["language"]] = got["count"] / sizes[got["language"]]
-            most = share.max(axis=1, initial=0)
-            for i in range(len(languages)):
-                own = gram[(share[:, i] >= RAREST) & (share[:, i] >= CHARACTERISTIC * most)]
-                for place in _places(own):
-                    bits[place] |= kind(1 << i)
-        for i in range(slices):
-            own = bits[i * per : (i + 1) * per]
-            if own.any():
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([own.tobytes()])], names=["slice", "bits"])
+            share = got["count"] / sizes[got["language"]]
+            most = np.zeros(len(gram))
+            np.maximum.at(most, at, share)
+            own = np.flatnonzero((share >= RAREST) & (share >= CHARACTERISTIC * most[at]))
+            own = own[np.argsort(got["language"][own], kind="stable")]
+            language, first = np.unique(got["language"][own], return_index=True)
+            for i, part in zip(language.tolist(), np.split(got["gram"][own], first[1:]), strict=False):
+                bits = blocks[i // BLOCK]
+                for place in _places(part):
+                    bits[place] |= bits.dtype.type(1 << i % BLOCK)
+        for block, bits in enumerate(blocks):
+            for i in range(slices):
+                own = bits[i * per : (i + 1) * per]
+                if own.any():
+                    yield pa.RecordBatch.from_arrays([pa.array([block * slices + i], pa.int32()), pa.array([own.tobytes()])], names=["slice", "bits"])
 
     def either(table: pa.Table) -> pa.Table:
-        bits = np.bitwise_or.reduce([np.frombuffer(b, kind) for b in table["bits"].to_pylist()])
+        bits = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in table["bits"].to_pylist()])
         return pa.table({"slice": table["slice"][:1], "bits": pa.array([bits.tobytes()])})
 
-    whole = np.zeros(1 << FILTER_BITS, kind)
-    # 64 rows, as large as the filters
-    for i, bits in counted.mapInArrow(mark, "slice int, bits binary").groupBy("slice").applyInArrow(either, "slice int, bits binary").collect():
-        whole[i * per : (i + 1) * per] = np.frombuffer(bits, kind)
-    full = np.array([np.count_nonzero(whole & kind(1 << i)) / len(whole) for i in range(len(languages))])
+    whole = [np.zeros(1 << FILTER_BITS, kind) for kind in kinds]
+    # 64 rows per block, as large as the filters
+    for at, bits in counted.mapInArrow(mark, "slice int, bits binary").groupBy("slice").applyInArrow(either, "slice int, bits binary").collect():
+        block, i = divmod(at, slices)
+        whole[block][i * per : (i + 1) * per] = np.frombuffer(bits, kinds[block])
+    full = np.array([np.count_nonzero(whole[i // BLOCK] & kinds[i // BLOCK](1 << i % BLOCK)) / (1 << FILTER_BITS) for i in range(len(languages))])
     return Filters(languages, whole, full**HASHES)
 
 
@@ -200,18 +217,22 @@ def predict(docs: DataFrame, filters: Filters, text: str = "text", pred: str = "
         for batch in steps(batches):
             own = batch.column(batch.num_columns - 1)
             lettered = np.array(own.is_valid())
-            counts = np.zeros((len(known.languages), batch.num_rows))
+            best, most = np.zeros(batch.num_rows, np.int64), np.full(batch.num_rows, -1.0)
             gram, owner = grams(own)
             n = np.maximum(np.bincount(owner, minlength=batch.num_rows), 1)
-            sets = known.hits(gram)
-            for i, wrong in enumerate(known.wrong):
-                hit = np.bincount(owner[(sets >> sets.dtype.type(i)) & sets.dtype.type(1) > 0], minlength=batch.num_rows)
-                counts[i] = np.clip((hit - n * wrong) / (1 - wrong) / n, 0, 1) if wrong < 1 else 0
+            places = _places(gram)
+            for block in range(len(known.blocks)):
+                sets = known.hits(places, block)
+                for i in range(block * BLOCK, min((block + 1) * BLOCK, len(known.languages))):
+                    wrong = known.wrong[i]
+                    hit = np.bincount(owner[(sets >> sets.dtype.type(i % BLOCK)) & sets.dtype.type(1) > 0], minlength=batch.num_rows)
+                    share = np.clip((hit - n * wrong) / (1 - wrong) / n, 0, 1) if wrong < 1 else np.zeros(batch.num_rows)
+                    more = share > most
+                    best[more], most[more] = i, share[more]
             if known.languages:
-                best = counts.argmax(axis=0)
                 names = np.array(known.languages, object)[best]
                 names[~lettered] = UNDECIDED
-                scores = np.where(lettered, counts[best, np.arange(batch.num_rows)], 0.0)
+                scores = np.where(lettered, most, 0.0)
             else:
                 names, scores = np.full(batch.num_rows, UNDECIDED, object), np.zeros(batch.num_rows)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*rest, pred, score])
