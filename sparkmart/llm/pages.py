@@ -6,7 +6,9 @@ to tags of each line is smoothed by a Gaussian; lines above the page's
 threshold are the content cluster. The containers that hold most of their
 text in that cluster are the content regions, and all their lines are kept, so
 short paragraphs between long ones stay. Menus, notices and the like are left
-out by what their containers are.
+out by what their containers are; a name of class or id does so only if its
+element doesn't hold most of the clustered text, for which such pages are
+parsed twice.
 """
 
 from __future__ import annotations
@@ -34,15 +36,28 @@ NEVER_NAMED = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted promotion recommended related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget widgets".split()
 )
 NEVER_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
+#: Words by which a name says what an element has or lacks, not what it is; and what an article's own parts may be called.
+NOT_ITSELF = frozenset("has have no non not with without free hide hides hidden show shows enable enabled disable disabled".split())
+OWN_PARTS = frozenset(["header"])
 _NAME = re.compile(r"[a-z]+")
 
 
 class _Lines(HTMLParser):
-    """Collects the lines of a page as parser events come in."""
+    """Collects the lines of a page as parser events come in.
 
-    def __init__(self) -> None:
+    Elements whose names say that they are no content are left out, except
+    those at the places `exempt`; where that is None none is, and `named` has
+    the characters in each of them for every line.
+    """
+
+    def __init__(self, exempt: frozenset[tuple[int, int]] | None = frozenset()) -> None:
         super().__init__(convert_charrefs=True)
+        self.exempt = exempt
         self.open: list[tuple[str, bool, int]] = []  # tag, whether it is left out, number of the region
+        self.inside: list[tuple[tuple[int, int], ...]] = []  # places of the named elements that each is in
+        self.held: dict[tuple[int, int], int] = {}
+        self.named: list[dict[tuple[int, int], int]] = []
+        self.saw_name = False
         self.regions = 1
         self.parents = [0]
         self.article = [False]
@@ -66,7 +81,8 @@ class _Lines(HTMLParser):
             self.texts.append(text)
             self.counts.append(self.tags)
             self.homes.append(self._region)
-        self.parts, self.tags = [], 0
+            self.named.append(self.held)
+        self.parts, self.tags, self.held = [], 0, {}
 
     def _left_out(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in NEVER:
@@ -77,14 +93,25 @@ class _Lines(HTMLParser):
         if tag in ("html", "body", "main", "article"):
             return False
         for name, value in attrs:
-            if name in ("class", "id") and value and NEVER_NAMED.intersection(_NAME.findall(value.lower())):
-                return True
             if name == "role" and value and value.strip().lower() in NEVER_ROLES:
                 return True
             if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and value and "display:none" in value.replace(" ", "").lower():
                 return True
         return False
 
+    def _never_named(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        """Whether one of the element's names says that it is no content."""
+        if tag in ("html", "body", "main", "article", "header"):
+            return False
+        for name, value in attrs:
+            for token in value.lower().split() if name in ("class", "id") and value else ():
+                words = set(_NAME.findall(token))
+                if self.article[self._region]:
+                    words -= OWN_PARTS
+                if words & NEVER_NAMED and not words & NOT_ITSELF:
+                    return True
+        return False
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self._end_line()
@@ -93,14 +120,19 @@ class _Lines(HTMLParser):
             self.parts.append("\n")
         if tag in VOID:
             return
-        out = self._out or self._left_out(tag, attrs)
-        if tag in REGIONS or out:
+        out, place, named = self._out or self._left_out(tag, attrs), self.getpos(), False
+        if self._never_named(tag, attrs):
+            self.saw_name = True
+            named = self.exempt is None
+            out = out or not named and place not in self.exempt
+        if tag in REGIONS or out or named:
             region = self._region
             if tag in REGIONS:
                 self.parents.append(region)
                 self.article.append(self.article[region] or tag in ("article", "main"))
                 region, self.regions = self.regions, self.regions + 1
             self.open.append((tag, out, region))
+            self.inside.append((*(self.inside[-1] if self.inside else ()), *([place] if named else [])))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID:
@@ -115,34 +147,59 @@ class _Lines(HTMLParser):
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
                 self._end_line()
-                del self.open[i:]
+                del self.open[i:], self.inside[i:]
                 break
         self.tags += 1
 
     def handle_data(self, data: str) -> None:
         if not self._out:
             self.parts.append(data)
+            for place in self.inside[-1] if self.inside else ():
+                self.held[place] = self.held.get(place, 0) + len("".join(data.split()))
 
 
-def lines(html: str) -> _Lines:
-    page = _Lines()
+def _parsed(html: str, exempt: frozenset[tuple[int, int]] | None) -> _Lines:
+    page = _Lines(exempt)
     page.feed(html)
     page.close()
     page._end_line()
     return page
 
 
-def content(page: _Lines) -> np.ndarray:
-    """Which lines of a page are content."""
-    n = len(page.texts)
-    if not n:
-        return np.zeros(0, bool)
+def lines(html: str) -> _Lines:
+    page = _parsed(html, frozenset())
+    return _parsed(html, exempt) if page.saw_name and (exempt := _holding_most(html)) else page
+
+
+def _holding_most(html: str) -> frozenset[tuple[int, int]]:
+    """The elements that are named as no content but hold most of the clustered text of the whole page."""
+    page = _parsed(html, None)
+    if not page.texts:
+        return frozenset()
+    cluster = np.flatnonzero(_clustered(page)[1])
+    total, held = 0, {}
+    for i in cluster.tolist():
+        total += len("".join(page.texts[i].split()))
+        for place, n in page.named[i].items():
+            held[place] = held.get(place, 0) + n
+    return frozenset(place for place, n in held.items() if 2 * n > total)
+
+
+def _clustered(page: _Lines) -> tuple[np.ndarray, np.ndarray]:
+    """The length of each line, and whether it is in the content cluster."""
     length = np.array([len(t) for t in page.texts], float)
     ratio = length / np.maximum(np.array(page.counts), 1)
     reach = int(3 * SIGMA)
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / SIGMA) ** 2)
     smooth = np.convolve(np.pad(ratio, reach, mode="edge"), kernel / kernel.sum(), mode="valid")
-    cluster = smooth >= THRESHOLD * smooth.std()
+    return length, smooth >= THRESHOLD * smooth.std()
+
+
+def content(page: _Lines) -> np.ndarray:
+    """Which lines of a page are content."""
+    if not page.texts:
+        return np.zeros(0, bool)
+    length, cluster = _clustered(page)
     homes = np.array(page.homes)
     # text of each region with all regions in it, and how much of it is in the cluster
     total, chosen = np.zeros(page.regions), np.zeros(page.regions)
