@@ -32,8 +32,8 @@ LEAST, LONGEST, FIRST = 100, 5, 2000
 NO_LANG = "und"
 #: Frequent words that tasks get numbers for, 16 bytes each; where there are more, the others go by their 64-bit hashes.
 LISTED = 1 << 21
-#: Windows sorted at once in a task; windows planned for one range; one place of so many helps to set the ranges.
-CHUNK, RANGE, SAMPLED = 1 << 20, 1 << 21, 1 << 14
+#: Windows sorted at once in a task; windows planned for one range; one place of so many helps to set the ranges, with this number of windows at most.
+CHUNK, RANGE, SAMPLED, SETTING = 1 << 20, 1 << 21, 1 << 14, 1 << 20
 #: Parts of a language that are ranked on their own before the last ranking.
 RANKED = 64
 
@@ -139,6 +139,14 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     return written(rows.groupBy("lang", "word").agg(F.first("name").alias("name"), F.sum("n").alias("n")), "words")
 
 
+def _sample(windows: DataFrame, parts: int) -> list[bytes]:
+    """Windows to set the ranges by, SETTING at most; others are left out before any are brought together."""
+    n = min(64 * parts, SETTING)
+    place = F.xxhash64("word")
+    thin = max(1, windows.count() // (2 * n))
+    return windows.where(F.pmod(place, F.lit(thin)) == 0).orderBy(place).limit(n).select("word").toArrow()["word"].to_pylist()
+
+
 def _ranges(sample: list[bytes], names: _Names, parts: int) -> list[np.ndarray]:
     """First windows of all ranges but the first."""
     if not sample:
@@ -316,8 +324,7 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     names = _Names(most[order], (order + 1).astype(U), frequent.count() <= listed)
     total = totals.agg(F.sum("n")).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE))
-    sample = counted.where("lang is null").select("word", F.xxhash64("word").alias("at")).orderBy("at").limit(64 * parts).toArrow()["word"].to_pylist()
-    phrases = _frequent(docs, names, _ranges(sample, names, parts), parts, least)
+    phrases = _frequent(docs, names, _ranges(_sample(counted.where("lang is null"), parts), names, parts), parts, least)
     sent = spark.sparkContext.broadcast(names)
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard, languages, lexical, licenses, pages, phrases, sharding, substrings, tokenfiles, vectors
+from . import bpe, decontaminate, jaccard, languages, lexical, licenses, neighbours, pages, phrases, sharding, substrings, tokenfiles, vectors
 
 RANKS, TOKENIZER = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 
@@ -81,6 +81,10 @@ def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(_table(spark, folder, "documents"))
 
 
+def op12_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, folder, "embeddings"))
+
+
 def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.ranked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -92,7 +96,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_substring_dedup, op2_license_scan, op3_bpe, op4_token_files, op5_main_text, op6_near_vectors, op7_decontaminate, op8_shards, op9_jaccard, op10_language, op11_collocations, op13_ranked_search, pipeline)
+    q.__name__: q for q in (op1_substring_dedup, op2_license_scan, op3_bpe, op4_token_files, op5_main_text, op6_near_vectors, op7_decontaminate, op8_shards, op9_jaccard, op10_language, op11_collocations, op12_nearest, op13_ranked_search, pipeline)
 }
 
 #: A-Z to a-z, and nothing else.
