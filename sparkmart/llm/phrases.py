@@ -33,7 +33,7 @@ NO_LANG = "und"
 #: Frequent words that tasks get numbers for, 16 bytes each; where there are more, the others go by their 64-bit hashes.
 LISTED = 1 << 21
 #: Windows sorted at once in a task; windows planned for one range; one place of so many helps to set the ranges, with this number of windows at most.
-CHUNK, RANGE, SAMPLED, SETTING = 1 << 20, 1 << 21, 1 << 14, 1 << 20
+CHUNK, RANGE, SAMPLED, SETTING = 1 << 19, 1 << 20, 1 << 14, 1 << 20
 #: Parts of a language that are ranked on their own before the last ranking.
 RANKED = 64
 
