@@ -42,6 +42,29 @@ for _t in ("student_info", "student_vle"):
         f"SELECT source_row_number, {_nulled} FROM raw_{_t}",
     )
 
+
+def csv_line_breaks(w: Workspace) -> DataFrame:
+    """The clicks as a source whose quoted values hold line breaks and quotes, read in blocks that cut through records."""
+    spark, block_bytes = w.spark, "spark.sql.files.maxPartitionBytes"
+    text = F.concat("code_presentation", F.lit('\n"'), "id_site", F.lit('"\r\n,'))
+    folder = scratch_folder(spark, "csv")
+    write_source(w.raw("student_vle").withColumn("code_presentation", text), folder, "student_vle")
+    found = scratch_folder(spark, "csv_read")
+    before = spark.conf.get(block_bytes)
+    spark.conf.set(block_bytes, "100000")
+    try:
+        read_source(spark, folder, "student_vle").write.parquet(found)
+    finally:
+        spark.conf.set(block_bytes, before)
+    return spark.read.parquet(found)
+
+
+_broken = """code_presentation || chr(10) || '"' || id_site || '"' || chr(13) || chr(10) || ',' AS code_presentation"""
+_nulled = ", ".join(
+    _broken if c == "code_presentation" else f"nullif({c}, '') AS {c}" for c in S.SOURCE_COLUMNS["student_vle"]
+)
+register("s03_csv_line_breaks", csv_line_breaks, f"SELECT source_row_number, {_nulled} FROM raw_student_vle")
+
 for _t in S.TABLES:
     register(
         f"s05_row_numbers_{_t}",

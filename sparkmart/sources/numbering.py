@@ -9,6 +9,8 @@ from sparkmart.schemas import ROW_NUMBER
 from sparkmart.session import scratch_folder
 
 _WITHIN_PARTITION = (1 << 33) - 1
+#: Parts whose offsets are sent to every task; a part has one short row.
+LOOKED_UP = 1 << 18
 
 
 def number_rows(
@@ -34,10 +36,6 @@ def number_rows(
         .write.parquet(folder)
     )
     placed = spark.read.parquet(folder)
-    return _add_offsets(placed, first, name).select(name, *df.columns)
-
-
-def _add_offsets(placed: DataFrame, first: int, name: str) -> DataFrame:
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_part")
@@ -45,4 +43,19 @@ def _add_offsets(placed: DataFrame, first: int, name: str) -> DataFrame:
         .select("_part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_offset"))
     )
     number = F.col("_offset") + F.col("_pos") + F.lit(first)
-    return placed.join(offsets, "_part").withColumn(name, number.cast("bigint"))
+    return look_up(placed, offsets, ["_part"]).withColumn(name, number.cast("bigint")).select(name, *df.columns)
+
+
+def look_up(rows: DataFrame, parts: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """`rows` with the columns of `parts`, a table with one row for each part of the input.
+
+    Up to LOOKED_UP parts are counted, then sent to every task, so that no row
+    moves. Beyond that the rows are joined and, if they have an `order`, put
+    back into it within each part.
+    """
+    spark = rows.sparkSession
+    own = parts.limit(LOOKED_UP + 1).toArrow()
+    if own.num_rows <= LOOKED_UP:
+        return rows.join(F.broadcast(spark.createDataFrame(own, parts.schema)), keys, "left")
+    joined = rows.join(parts, keys, "left")
+    return joined.repartition(*keys).sortWithinPartitions(*keys, *order) if order else joined
