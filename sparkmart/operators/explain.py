@@ -1,24 +1,20 @@
 """Scores with their three strongest factors.
 
 Contributions are Shapley values against a background sample: exact products
-for linear models, exact sums over leaves for tree models.
+for linear models, exact sums over leaves for tree models (`tree_shapley`).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
-from math import factorial
-
 import numpy as np
-import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.functions.encode import risk_label
 from sparkmart.operators.features import Feature, Preprocessor
+from sparkmart.operators.tree_shapley import tree_contributions, tree_leaves
 from sparkmart.schemas import THRESHOLD
 
 BACKGROUND_ROWS = 100
@@ -51,113 +47,6 @@ def background_means(background: DataFrame, names: list[str]) -> dict[str, float
     return {n: row[n] for n in names}
 
 
-# ------------------------------------------------------------------------- trees
-
-
-@dataclass(frozen=True)
-class Leaf:
-    """What a leaf adds to the output, by which of its conditions a row meets.
-
-    ``table[mask]`` holds one contribution per condition feature.
-    """
-
-    features: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-    table: np.ndarray
-
-    def masks(self, x: np.ndarray) -> np.ndarray:
-        values = x[:, self.features]
-        met = (values > self.low) & (values <= self.high)
-        return met @ (1 << np.arange(len(self.features)))
-
-
-def _shares(value: float, masks: np.ndarray, k: int) -> np.ndarray:
-    """Average contribution per own mask and feature against background masks.
-
-    With a set A of conditions only the row meets and B only the background
-    meets, the leaf is reached by coalitions that hold all of A and none of B.
-    """
-    full = (1 << k) - 1
-    table = np.zeros((1 << k, k))
-    seen, counts = np.unique(masks, return_counts=True)
-    for own in range(1 << k):
-        for other, count in zip(seen.tolist(), counts.tolist()):
-            if own | other != full:
-                continue
-            only_own, only_other = own & ~other, other & ~own
-            a, b = only_own.bit_count(), only_other.bit_count()
-            for i in range(k):
-                if only_own >> i & 1:
-                    table[own, i] += count * factorial(a - 1) * factorial(b) / factorial(a + b)
-                elif only_other >> i & 1:
-                    table[own, i] -= count * factorial(a) * factorial(b - 1) / factorial(a + b)
-    return table * value / counts.sum()
-
-
-def _leaves(nodes: dict[int, object], root: int) -> Iterator[tuple[object, dict]]:
-    """Leaves of a tree with the value range each split feature must lie in."""
-    stack = [(root, {})]
-    while stack:
-        node_id, ranges = stack.pop()
-        node = nodes[node_id]
-        if node.leftChild < 0:
-            yield node, ranges
-            continue
-        feature, cut = node.split.featureIndex, node.split.leftCategoriesOrThreshold[0]
-        low, high = ranges.get(feature, (-np.inf, np.inf))
-        stack.append((node.leftChild, {**ranges, feature: (low, min(high, cut))}))
-        stack.append((node.rightChild, {**ranges, feature: (max(low, cut), high)}))
-
-
-def tree_leaves(
-    spark: SparkSession, model_folder: str, background: np.ndarray, boosted: bool
-) -> list[Leaf]:
-    """Leaf tables of a saved tree ensemble; its size is set by the model, not by data.
-
-    Boosted trees explain log-odds, forests the probability.
-    """
-    rows = spark.read.parquet(f"{model_folder}/data").collect()
-    weights = {
-        r[0]: r[1]
-        for r in spark.read.parquet(f"{model_folder}/treesMetadata").toDF("tree", "m", "w")
-        .select("tree", "w").collect()
-    }
-    scale = 2.0 if boosted else 1.0 / sum(weights.values())
-    trees: dict[int, dict[int, object]] = {}
-    for row in rows:
-        trees.setdefault(row.treeID, {})[row.nodeData.id] = row.nodeData
-    leaves = []
-    for tree, nodes in trees.items():
-        for node, ranges in _leaves(nodes, 0):
-            if not ranges:
-                continue
-            stats = node.impurityStats
-            value = node.prediction if boosted else stats[1] / (stats[0] + stats[1])
-            features = np.array(list(ranges))
-            low = np.array([r[0] for r in ranges.values()])
-            high = np.array([r[1] for r in ranges.values()])
-            blank = Leaf(features, low, high, np.zeros((0, 0)))
-            shares = _shares(value * weights[tree] * scale, blank.masks(background), len(features))
-            leaves.append(Leaf(features, low, high, shares))
-    return leaves
-
-
-def tree_contributions(df: DataFrame, leaves: list[Leaf], width: int) -> DataFrame:
-    """Add ``contributions``, one per feature, to rows with a ``features`` vector."""
-    shared = df.sparkSession.sparkContext.broadcast(leaves)
-
-    @F.pandas_udf("array<double>")
-    def contributions(vectors: pd.Series) -> pd.Series:
-        x = np.array(vectors.tolist(), dtype=float).reshape(len(vectors), width)
-        result = np.zeros_like(x)
-        for leaf in shared.value:
-            result[:, leaf.features] += leaf.table[leaf.masks(x)]
-        return pd.Series(list(result))
-
-    return df.withColumn("contributions", contributions(vector_to_array("features")))
-
-
 # ----------------------------------------------------------------------- factors
 
 
@@ -239,6 +128,8 @@ def explain_pipeline(
         boosted = "GBT" in type(classifier).__name__
         stage = f"{model_folder}/stages/{len(model.stages) - 1}_{classifier.uid}"
         leaves = tree_leaves(df.sparkSession, stage, sample, boosted)
-        transformed = tree_contributions(transformed, leaves, len(features))
+        # A row costs milliseconds, far more than a shuffle of it: rows are dealt evenly to all tasks first.
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        transformed = tree_contributions(transformed.repartition(tasks), leaves, len(features))
         columns = [F.col("contributions")[i] for i in range(len(features))]
     return transformed.withColumn("factors", top_factors(features, columns))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart import schemas as S
@@ -530,20 +530,13 @@ def _evaluated(
     return _rounded(metrics.evaluate(result, slices), _METRICS)
 
 
-# Settings sized for a query that fits while it runs; the library defaults are the full ones.
-SMALL_FOREST = models.ForestSetting(trees=20, depth=6)
-SMALL_BOOSTING = models.BoostingSetting(iterations=10, leaves=15)
-SMALL_FINAL = models.BoostingSetting(
-    learning_rate=0.03, iterations=10, leaves=15, leaf_rows=50, balanced=True
-)
-
 register("l02_logistic_basic", lambda w: _evaluated(w, models.LogisticSetting(), features.BASIC))
 register("l02_logistic_full", lambda w: _evaluated(w, models.LogisticSetting()))
 register("l02_logistic_extended", lambda w: _evaluated(w, models.LogisticSetting(), features.EXTENDED))
 register("l02_logistic_tuned", lambda w: _evaluated(w, models.LOGISTIC_TUNED))
-register("l03_random_forest", lambda w: _evaluated(w, SMALL_FOREST))
-register("l04_boosted_trees", lambda w: _evaluated(w, SMALL_BOOSTING))
-register("l09_final_model_by_week", lambda w: _evaluated(w, SMALL_FINAL, slices=["week_no"], final=True))
+register("l03_random_forest", lambda w: _evaluated(w, models.ForestSetting()))
+register("l04_boosted_trees", lambda w: _evaluated(w, models.BoostingSetting()))
+register("l09_final_model_by_week", lambda w: _evaluated(w, models.BOOSTING_TUNED, slices=["week_no"], final=True))
 
 
 def _search_table(w: Workspace, settings: list[models.Setting]) -> DataFrame:
@@ -574,14 +567,19 @@ LINEAR = {
 }
 
 
-def linear_explained(w: Workspace) -> DataFrame:
-    """Predict rows with fixed linear contributions against the sampled background."""
+def _linear_parts(w: Workspace) -> tuple[features.Preprocessor, list[features.Feature], dict[str, Column]]:
+    """Preprocessing, features and contributions of the fixed linear model against the sampled background."""
     train = profiled(w)
     fitted = features.fit_preprocessor(train)
     used = [f for f in fitted.features if f.full_name in LINEAR]
     background = fitted.transform(explain.seeded_sample(train, KEY, explain.BACKGROUND_ROWS))
     means = explain.background_means(background, list(LINEAR))
-    contributions = explain.linear_contributions(LINEAR, means)
+    return fitted, used, explain.linear_contributions(LINEAR, means)
+
+
+def linear_explained(w: Workspace) -> DataFrame:
+    """Predict rows with fixed linear contributions."""
+    fitted, used, contributions = _linear_parts(w)
     scored_rows = fixed_score(fitted.transform(w.predict_frame()))
     return scored_rows.withColumn(
         "factors", explain.top_factors(used, [contributions[f.full_name] for f in used])
@@ -666,8 +664,8 @@ register(
 )
 
 
-def _fitted_predictions(w: Workspace, setting: models.Setting) -> DataFrame:
-    """Fit, save, reload, score the predict frame and explain every row."""
+def _fitted_predictions(w: Workspace, setting: models.Setting, rows: DataFrame | None = None) -> DataFrame:
+    """Fit, save, reload, score the predict frame (or other rows) and explain every row."""
     from sparkmart.plans import pipeline
 
     train, validation, _ = models.temporal_split(w.train_frame())
@@ -682,7 +680,7 @@ def _fitted_predictions(w: Workspace, setting: models.Setting) -> DataFrame:
     artifact = pipeline.load_artifact(w.spark, folder)
     return explain.explain_pipeline(
         artifact["model"], artifact["model_folder"], artifact["preprocessor"], artifact["background"],
-        w.predict_frame(),
+        w.predict_frame() if rows is None else rows,
     )
 
 
@@ -694,23 +692,52 @@ register(
     "x01_s15_scored_predictions",
     lambda w: explain.prediction_tables(_fitted_predictions(w, models.LogisticSetting()))[0],
 )
-register("x02_boosted_tree_factors", lambda w: _explained_rows(w, SMALL_FINAL))
-register("x02_forest_factors", lambda w: _explained_rows(w, SMALL_FOREST))
+register("x02_boosted_tree_factors", lambda w: _explained_rows(w, models.BOOSTING_TUNED))
+register("x02_forest_factors", lambda w: _explained_rows(w, models.ForestSetting()))
 
 
-def _demo(w: Workspace) -> DataFrame:
-    """Top factors of a seeded sample of the test presentation."""
-    sample = explain.seeded_sample(
-        w.train_frame().filter(F.col("code_presentation") == models.TEST), KEY, explain.DEMO_ROWS
-    )
-    explained = fixed_score(features.fit_preprocessor(profiled(w)).transform(sample))
-    return explained.select(KEY, F.col("score").alias("probability_fail"), N.risk_label(F.col("score")).alias("prediction"))
+def _demo_rows(w: Workspace) -> DataFrame:
+    """A seeded sample of the test presentation."""
+    test = w.train_frame().filter(F.col("code_presentation") == models.TEST)
+    return explain.seeded_sample(test, KEY, explain.DEMO_ROWS)
 
 
+def _demo_of_formula(w: Workspace) -> DataFrame:
+    """The sample with the linear model of fixed weights and its three strongest factors."""
+    fitted, used, contributions = _linear_parts(w)
+    factors = explain.top_factors(used, [contributions[f.full_name] for f in used])
+    rows = fixed_score(fitted.transform(_demo_rows(w))).withColumn("factors", factors)
+    return _demo_table(rows)
+
+
+def _demo_table(rows: DataFrame) -> DataFrame:
+    """Probability, label and factors, one column each, of explained rows."""
+    factors = [
+        F.col("factors")[i][part].alias(f"factor_{i + 1}_{name}")
+        for i in range(explain.TOP_FACTORS)
+        for part, name in (("factor_name", "name"), ("factor_value", "value"), ("contribution", "shap"))
+    ]
+    label = N.risk_label(F.col("score")).alias("prediction")
+    return rows.select(KEY, F.col("score").alias("probability_fail"), label, *factors)
+
+
+VIEWS["demo_rows"] = (
+    f"SELECT *, {_LINEAR_COLUMNS} FROM scored WHERE code_presentation = '2014B' "
+    f"ORDER BY md5(CAST({KEY} AS VARCHAR) || ':42'), {KEY} LIMIT 1000"
+)
+VIEWS["demo_factors"] = VIEWS["linear_factors"].replace("FROM linear_rows", "FROM demo_rows")
+VIEWS["demo_top"] = f"""
+SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY abs(contribution) DESC, position) AS factor_rank FROM demo_factors"""
+_DEMO_FACTORS = ", ".join(
+    f"max(CASE WHEN factor_rank = {i} THEN {value} END) AS factor_{i}_{name}"
+    for i in (1, 2, 3)
+    for value, name in (("factor_name", "name"), ("factor_value", "value"), ("round(contribution, 4)", "shap"))
+)
 register(
     "x06_demo_sample",
-    _demo,
-    f"""SELECT {KEY}, score AS probability_fail, CASE WHEN score >= 0.5 THEN 'Fail' ELSE 'Not Fail' END AS prediction
-        FROM scored WHERE code_presentation = '2014B'
-        ORDER BY md5(CAST({KEY} AS VARCHAR) || ':42'), {KEY} LIMIT 1000""",
+    _demo_of_formula,
+    f"""SELECT d.{KEY}, score AS probability_fail, CASE WHEN score >= 0.5 THEN 'Fail' ELSE 'Not Fail' END AS prediction, f.* EXCLUDE ({KEY})
+        FROM demo_rows d JOIN (SELECT {KEY}, {_DEMO_FACTORS} FROM demo_top GROUP BY {KEY}) f ON f.{KEY} = d.{KEY}""",
 )
+# The same with the boosted model and the kept settings.
+register("x06_demo_boosted", lambda w: _demo_table(_fitted_predictions(w, models.BOOSTING_TUNED, _demo_rows(w))))

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from sparkmart.operators import explain, features, metrics, models, profiling
+from sparkmart.operators import explain, features, metrics, models, profiling, tree_shapley
 from sparkmart.operators.distribution import quantiles_of_counts, running_counts, value_counts
 from sparkmart.session import scratch_folder
 
@@ -82,7 +82,7 @@ def shapley(value, x, background):
 @pytest.mark.parametrize(
     "setting", [models.BoostingSetting(iterations=3, leaves=15, leaf_rows=5), models.ForestSetting(trees=3, depth=4)]
 )
-def test_tree_contributions_are_shapley_values(spark, setting):
+def test_tree_contributions_are_shapley_values(spark, setting, monkeypatch):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(300, 4)).round(2)
     y = ((x[:, 0] * x[:, 1] + x[:, 2] + rng.normal(size=300) * 0.3) > 0).astype(float)
@@ -97,7 +97,13 @@ def test_tree_contributions_are_shapley_values(spark, setting):
     boosted = isinstance(setting, models.BoostingSetting)
     background = x[:8]
     leaves = explain.tree_leaves(spark, folder, background, boosted)
-    rows = explain.tree_contributions(df.limit(2), leaves, 4).collect()
+    rows = explain.tree_contributions(df.limit(2), leaves, 4).orderBy("a").collect()
+    # a larger model than one broadcast may hold, and leaves of more conditions than a table serves
+    monkeypatch.setattr(tree_shapley, "LEAF_BYTES", 1500)
+    monkeypatch.setattr(tree_shapley, "TABLED", 1)
+    assert tree_shapley._passes(leaves) > 1
+    again = explain.tree_contributions(df.limit(2), leaves, 4).orderBy("a").collect()
+    assert np.allclose([r.contributions for r in rows], [r.contributions for r in again], atol=1e-12)
 
     def output(batch):
         from pyspark.ml.linalg import Vectors
