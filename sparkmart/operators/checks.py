@@ -164,43 +164,71 @@ MART_NULLABLE = {
 }
 
 
-def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows after the first of each key."""
-    return (
-        df.groupBy(*keys)
-        .count()
-        .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("bigint").alias("violations"))
+#: Columns that hold the values of any key: whole numbers and text.
+_NUMBERS, _TEXTS = 2, 2
+_KEY = [*[f"k{i}" for i in range(_NUMBERS)], *[f"t{i}" for i in range(_TEXTS)]]
+
+
+def _tagged(check: str, df: DataFrame, keys: list[str], rows: Column, parent: bool = False) -> Column:
+    """One key of a row: whose check it is for, its values by kind, and the rows it stands for."""
+    types = dict(df.dtypes)
+    numbers = [F.col(k).cast("bigint") for k in keys if types[k] in ("int", "bigint", "smallint")]
+    others = [F.col(k).cast("string") for k in keys if types[k] not in ("int", "bigint", "smallint")]
+    if len(numbers) > _NUMBERS or len(others) > _TEXTS:
+        raise ValueError(f"{check}: too many key columns")
+    numbers += [F.lit(None).cast("bigint")] * (_NUMBERS - len(numbers))
+    others += [F.lit(None).cast("string")] * (_TEXTS - len(others))
+    values = [v.alias(name) for v, name in zip([*numbers, *others], _KEY, strict=True)]
+    return F.struct(
+        F.lit(check).alias("check"), *values, rows.cast("bigint").alias("rows"), F.lit(int(parent)).alias("parents")
     )
 
 
-def orphans(df: DataFrame, column: str, parent: DataFrame) -> DataFrame:
-    """Rows whose key has no parent; keys are counted before the join."""
-    keys = df.filter(F.col(column).isNotNull()).groupBy(column).count()
-    return keys.join(parent.select(column), column, "left_anti").agg(
-        F.coalesce(F.sum("count"), F.lit(0)).cast("bigint").alias("violations")
-    )
-
-
-def missing_values(df: DataFrame) -> DataFrame:
-    required = [c for c in df.columns if c not in MART_NULLABLE]
-    return df.agg(F.count_if(_any([F.col(c).isNull() for c in required])).alias("violations"))
-
-
 def constraint_report(marts: dict[str, DataFrame]) -> DataFrame:
-    """Key, reference and NOT NULL violations of every mart table, and empty tables."""
+    """Key, reference and NOT NULL violations of every mart table, and empty tables.
+
+    Each table is read once. A row gives its values of all keys, as child and
+    as parent; one aggregate over all tables counts them, combined before the
+    shuffle, and its result has all violations.
+    """
+    names: list[tuple[str, str]] = []
     parts = []
+    one = F.lit(1)
     for table in MART_TYPES:
         df = marts[table]
         primary, unique, foreign = CONSTRAINTS[table]
-        found = {
-            f"{table}: primary key": repeated_keys(df, [primary]),
-            f"{table}: unique key": repeated_keys(df, unique),
-            f"{table}: not null": missing_values(df),
-            f"{table}: not empty": df.agg(
-                F.when(F.count("*") == 0, 1).otherwise(0).cast("bigint").alias("violations")
-            ),
-        }
-        for column, parent in foreign.items():
-            found[f"{table}: {column}"] = orphans(df, column, marts[parent])
-        parts += [v.select(F.lit(n).alias("check"), "violations") for n, v in found.items()]
-    return reduce(DataFrame.unionByName, parts)
+        required = [F.col(c).isNull() for c in df.columns if c not in MART_NULLABLE]
+        tags = [
+            _tagged(f"{table}: primary key", df, [primary], one),
+            _tagged(f"{table}: unique key", df, unique, one),
+            _tagged(f"{table}: not null", df, [], _any(required).cast("int")),
+            _tagged(f"{table}: not empty", df, [], one),
+        ]
+        names += [(f"{table}: {kind}", kind) for kind in ("primary key", "unique key", "not null", "not empty")]
+        for column in foreign:
+            # a key without a value needs no parent
+            tags.append(F.when(F.col(column).isNotNull(), _tagged(f"{table}: {column}", df, [column], one)))
+            names.append((f"{table}: {column}", "parent"))
+        for child, (_, _, others) in CONSTRAINTS.items():
+            for column in (c for c, parent in others.items() if parent == table):
+                tags.append(_tagged(f"{child}: {column}", df, [column], F.lit(0), parent=True))
+        parts.append(df.select(F.inline(F.array_compact(F.array(*tags)))))
+    counts = reduce(DataFrame.unionByName, parts).groupBy("check", *_KEY).agg(
+        F.sum("rows").alias("rows"), F.max("parents").alias("parents")
+    )
+    sums = counts.groupBy("check").agg(
+        F.sum("rows").alias("rows"),
+        F.sum(F.col("rows") - 1).alias("repeated"),
+        F.sum(F.when(F.col("parents") == 0, F.col("rows")).otherwise(0)).alias("orphans"),
+    )
+    checks = marts["dim_week"].sparkSession.createDataFrame(names, "check string, kind string")
+    kind = F.col("kind")
+    violations = (
+        F.when(kind == "not empty", F.when(F.col("rows").isNull(), 1).otherwise(0))
+        .when(kind == "not null", F.col("rows"))
+        .when(kind == "parent", F.col("orphans"))
+        .otherwise(F.col("repeated"))
+    )
+    return checks.join(sums, "check", "left").select(
+        "check", F.coalesce(violations, F.lit(0)).cast("bigint").alias("violations")
+    )

@@ -9,46 +9,81 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Parts of a group of many values that are ordered in tasks of their own.
-RANGES = 4096
+#: Ranges that the distinct values of a group are dealt to, and values up to which a group is one range.
+RANGES, SPLIT_VALUES = 256, 4096
+#: Relative error of the sketch is one over this, so no range holds much more than its share.
+ACCURACY = 16 * RANGES
 
 
 def value_counts(df: DataFrame, group: list[str], value: str) -> DataFrame:
     return df.groupBy(*group, value).agg(F.count("*").alias("n"))
 
 
+def ranged_counts(counts: DataFrame, group: list[str], value: str) -> DataFrame:
+    """Counts with ``_range``, which rises with the value, and the rows of their group, ``_total``; without NULL.
+
+    A mergeable sketch of each group's distinct values gives the splitters, one
+    row per group. Ranges hold about as many values each, however these lie.
+    """
+    known = counts.where(F.col(value).isNotNull())
+    shares = [i / RANGES for i in range(1, RANGES)]
+    splitters = known.groupBy(*[F.col(g).alias(f"_s_{g}") for g in group], F.lit(0).alias("_s")).agg(
+        F.sum("n").alias("_total"),
+        F.count("*").alias("_values"),
+        F.percentile_approx(value, shares, ACCURACY).alias("_splitters"),
+    )
+    large = F.col("_values") > SPLIT_VALUES
+    splitters = splitters.withColumn("_splitters", F.when(large, F.col("_splitters"))).drop("_values")
+    same = F.col("_s") == F.col("_one")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_s_{g}"))
+    # the number of splitters below the value, found by halving
+    steps = F.array(*[F.lit(RANGES >> i) for i in range(1, RANGES.bit_length())])
+    below = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(F.element_at("_splitters", at + step) < F.col(value), at + step).otherwise(at),
+    )
+    placed = known.withColumn("_one", F.lit(0)).join(splitters, same)
+    chosen = F.when(F.col("_splitters").isNull(), 0).otherwise(below)
+    return placed.select(*counts.columns, "_total", chosen.alias("_range"))
+
+
 def running_counts(
-    counts: DataFrame, group: list[str], value: str, bucket: Column, measures: list[str],
+    counts: DataFrame, group: list[str], value: str, bucket: Column | None, measures: list[str],
     descending: bool = False,
 ) -> DataFrame:
     """Running sums over the ordered distinct values of each group.
 
-    ``bucket`` must rise with the value. Sums inside buckets run in parallel;
-    only the bucket totals of a group meet in one window.
+    Sums inside ranges run in parallel; only the range totals of a group meet
+    in one window. ``bucket`` names the range of a row and must rise with the
+    value; without it ranges are measured, NULL is left out and ``_total`` added.
     """
     def ordered(c: str) -> Column:
         return F.col(c).desc() if descending else F.col(c).asc()
 
-    placed = counts.withColumn("_bucket", bucket)
+    measured = bucket is None
+    placed = ranged_counts(counts, group, value) if measured else counts.withColumn("_range", bucket)
     before = (
-        Window.partitionBy(*group).orderBy(ordered("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*group).orderBy(ordered("_range")).rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
-        placed.groupBy(*group, "_bucket")
+        placed.groupBy(*group, "_range")
         .agg(*[F.sum(m).alias(m) for m in measures])
         .select(
             *[F.col(g).alias(f"_g_{g}") for g in group],
-            F.col("_bucket").alias("_b"),
+            F.col("_range").alias("_r"),
             *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_before_{m}") for m in measures],
         )
     )
-    same = F.col("_bucket") == F.col("_b")
+    same = F.col("_range") == F.col("_r")
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    within = Window.partitionBy(*group, "_bucket").orderBy(ordered(value))
+    within = Window.partitionBy(*group, "_range").orderBy(ordered(value))
     within = within.rowsBetween(Window.unboundedPreceding, 0)
     return placed.join(offsets, same).select(
         *counts.columns,
+        *(["_total"] if measured else []),
         *[(F.col(f"_before_{m}") + F.sum(m).over(within)).alias(f"cum_{m}") for m in measures],
     )
 
@@ -63,22 +98,8 @@ def placed_counts(counts: DataFrame, group: list[str], value: str) -> DataFrame:
 
 
 def split_placed_counts(counts: DataFrame, group: list[str], value: str) -> DataFrame:
-    """``placed_counts`` for groups of many whole numbers, without NULL.
-
-    Each group is cut into ``RANGES`` of equal width, so that no task orders
-    more than that part of the numbers between its extremes.
-    """
-    known = counts.where(F.col(value).isNotNull())
-    extremes = known.groupBy(*[F.col(g).alias(f"_e_{g}") for g in group]).agg(
-        F.min(value).alias("_low"), F.max(value).alias("_high"), F.sum("n").alias("_total")
-    )
-    same = F.lit(True)
-    for g in group:
-        same = same & F.col(g).eqNullSafe(F.col(f"_e_{g}"))
-    spread = known.join(extremes, same).drop(*[f"_e_{g}" for g in group])
-    width = F.col("_high").cast("double") - F.col("_low") + 1
-    bucket = F.floor((F.col(value).cast("double") - F.col("_low")) * RANGES / width)
-    return running_counts(spread, group, value, bucket, ["n"]).withColumnRenamed("cum_n", "_cum")
+    """``placed_counts`` for groups of many values, in measured ranges, without NULL."""
+    return running_counts(counts, group, value, None, ["n"]).withColumnRenamed("cum_n", "_cum")
 
 
 def quantile(value: Column, q: float, where: Column | None = None) -> Column:
@@ -94,7 +115,7 @@ def quantile(value: Column, q: float, where: Column | None = None) -> Column:
 def quantiles_of_counts(
     counts: DataFrame, group: list[str], value: str, quantiles: dict[str, float]
 ) -> DataFrame:
-    """Quantiles of ``(group, value, n)`` rows of whole numbers."""
+    """Quantiles of ``(group, value, n)`` rows."""
     return (
         split_placed_counts(counts, group, value)
         .groupBy(*group)

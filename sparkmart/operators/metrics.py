@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from sparkmart.operators.distribution import running_counts
 from sparkmart.schemas import THRESHOLD
 
-# Scores lie in 0..1. Running sums work in parallel inside this many ranges.
-SCORE_RANGES = 1024
-
 
 def input_problems(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Labels other than 0/1, scores and thresholds outside 0..1."""
@@ -44,10 +41,7 @@ def score_counts(df: DataFrame, slices: list[str]) -> DataFrame:
 
 def ranked_scores(df: DataFrame, slices: list[str], descending: bool = True) -> DataFrame:
     """Score counts with running counts from the best (or worst) score on."""
-    bucket = F.floor(F.col("score") * SCORE_RANGES)
-    return running_counts(
-        score_counts(df, slices), slices, "score", bucket, ["n", "pos"], descending
-    )
+    return running_counts(score_counts(df, slices), slices, "score", None, ["n", "pos"], descending).drop("_total")
 
 
 def _ratio(part: Column, whole: Column) -> Column:

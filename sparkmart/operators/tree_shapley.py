@@ -23,7 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.session import scratch_folder
+from sparkmart.session import written
 
 #: Bytes of leaves that are sent to every task at once; larger models go in several passes over the rows.
 LEAF_BYTES = 64 << 20
@@ -109,13 +109,7 @@ def tree_leaves(spark: SparkSession, model_folder: str, background: np.ndarray,
         arrays = [pa.array(v, t) for v, t in zip(values, types, strict=True)]
         return pa.table(arrays, names=[c.split()[0] for c in LEAF.split(", ")])
 
-    return _written(nodes.join(scaled, "tree").groupBy("tree").applyInArrow(unfold, LEAF), "leaves")
-
-
-def _written(df: DataFrame, name: str) -> DataFrame:
-    folder = scratch_folder(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return written(nodes.join(scaled, "tree").groupBy("tree").applyInArrow(unfold, LEAF), "leaves")
 
 
 def _add(out: np.ndarray, columns: np.ndarray, leaf: dict) -> None:
@@ -185,6 +179,6 @@ def tree_contributions(df: DataFrame, leaves: DataFrame, width: int) -> DataFram
         add = _adder(shared, width)
         found = found.withColumn("contributions", add(vector_to_array("features"), "contributions"))
         if passes > 1:
-            found = _written(found, "contributions")
+            found = written(found, "contributions")
             shared.destroy()
     return found

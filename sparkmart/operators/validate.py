@@ -3,9 +3,9 @@
 The work stays in one frame: an ``errors`` column grows from stage to stage
 and the routes are two filters on it. No stage gathers the rows of a key in
 one task. Row rules are map-only. References are left joins from the rows to
-unique keys, whose large side adaptive execution can split. Duplicates are
-found by an aggregate that combines before its shuffle, and only keys that
-occur more than once are joined back.
+unique keys, whose large side adaptive execution can split. Rows checked so
+far are written once. Duplicates are then found from their keys alone, and only
+rows that can have a repeated key are moved.
 """
 
 from __future__ import annotations
@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 
 from sparkmart import schemas as S
 from sparkmart.operators.rules import MESSAGES, RULES, Check, Duplicates, Reference, RuleSet
+from sparkmart.session import written
+
+#: Repeated keys that are sent to every task as they are; slots of the filter for more of them.
+SENT, SLOTS = 20_000, 1 << 18
 
 
 def row_number() -> Column:
@@ -110,28 +114,56 @@ def check_references(
     return df.withColumn("errors", found).drop(*[f"_found{i}" for i in range(len(references))])
 
 
+def repeated_keys(df: DataFrame, rule: Duplicates) -> DataFrame:
+    """Keys of more than one valid row (``_d_`` columns), the first row number and, if it counts, that row's signature.
+
+    Only keys, row numbers and signatures are read and combined before they move.
+    """
+    first = [F.min(row_number()).alias("_first_row"), F.count("*").alias("_rows")]
+    if rule.signature:
+        first.append(F.min_by(_signature(rule), row_number()).alias("_first_signature"))
+    keys = [F.col(f"v_{k}").alias(f"_d_v_{k}") for k in rule.keys]
+    return df.filter(valid()).groupBy(*keys).agg(*first).filter(F.col("_rows") > 1)
+
+
+def _signature(rule: Duplicates) -> Column:
+    return F.struct(*[F.col(f"v_{c}").alias(c) for c in rule.signature])
+
+
 def check_duplicates(df: DataFrame, rule: Duplicates) -> DataFrame:
     """Mark valid rows after the first valid row of their key.
 
     Equal signatures (NULLs equal) make an exact, others a conflicting duplicate.
+    ``df`` should be a written table, as it is read more than once. Repeated keys
+    are found first, from narrow columns. None leaves the rows as they are; up to
+    SENT of them go to every task; of more, the hash slots they fall into go to
+    every task, and only rows in such a slot are shuffled and joined.
     """
-    keys = [f"v_{k}" for k in rule.keys]
-    first = [F.min(row_number()).alias("_first_row"), F.count("*").alias("_rows")]
-    if rule.signature:
-        signature = F.struct(*[F.col(f"v_{c}").alias(c) for c in rule.signature])
-        first.append(F.min_by(signature, row_number()).alias("_first_signature"))
-    repeated = (
-        df.filter(valid())
-        .groupBy(*[F.col(k).alias(f"_d_{k}") for k in keys])
-        .agg(*first)
-        .filter(F.col("_rows") > 1)
-    )
+    repeated = written(repeated_keys(df, rule), "repeated")
+    n = repeated.count()
+    if not n:
+        return df
+    keys = {f"_d_v_{k}": f"v_{k}" for k in rule.keys}
+    if n <= SENT:
+        return _marked(df, F.broadcast(repeated), keys, rule)
+    slots = repeated.select(_slot(list(keys)).alias("_slot")).distinct()  # SLOTS rows at most
+    placed = df.withColumn("_at", F.when(valid(), _slot(list(keys.values()))))
+    placed = placed.join(F.broadcast(slots.withColumn("_hit", F.lit(True))), F.col("_at") == F.col("_slot"), "left")
+    alone = placed.filter(F.col("_hit").isNull()).select(*df.columns)
+    suspects = placed.filter("_hit").select(*df.columns)
+    return alone.unionByName(_marked(suspects, repeated, keys, rule))
+
+
+def _slot(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(SLOTS))
+
+
+def _marked(df: DataFrame, repeated: DataFrame, keys: dict[str, str], rule: Duplicates) -> DataFrame:
     # A number leads, so that rejected rows scatter on it.
-    number_first = {f"_d_{k}": k for k in reversed(keys)}
-    joined = _lookup(df, repeated, number_first, "_repeated")
+    joined = _lookup(df, repeated, dict(reversed(keys.items())), "_repeated")
     exact = error(rule.label, "EXACT_DUPLICATE")
     if rule.signature:
-        same = signature.eqNullSafe(F.col("_first_signature"))
+        same = _signature(rule).eqNullSafe(F.col("_first_signature"))
         exact = F.when(same, exact).otherwise(error(rule.label, "CONFLICTING_DUPLICATE"))
     later = F.col("_repeated") & (row_number() > F.col("_first_row"))
     return joined.withColumn(
@@ -145,7 +177,7 @@ def validate(raw: DataFrame, table: str, clean: dict[str, DataFrame]) -> DataFra
     df = check_rows(raw, table)
     for references in rules.references:
         df = check_references(df, references, clean)
-    return check_duplicates(df, rules.duplicates) if rules.duplicates else df
+    return check_duplicates(written(df, "checked"), rules.duplicates) if rules.duplicates else df
 
 
 def route_clean(validated: DataFrame, table: str) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 Result = TypeVar("Result")
 
@@ -53,6 +53,13 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/sparkmart/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: later steps read it instead of computing it again, and its size is known."""
+    folder = scratch_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def in_parallel(actions: list[Callable[[], Result]]) -> list[Result]:
     """Start independent jobs together, so that small ones do not wait for each other."""
     if len(actions) < 2:

@@ -34,6 +34,44 @@ def test_student_fact_shuffles_clicks_twice(small):
     assert len(on_student) == 1 and len(exchanges) <= 4
 
 
+def moved_rows(df):
+    """Exchanges of the executed plan apart from broadcasts."""
+    df.collect()
+    return [line for line in plan_of(df).split("\n") if "Exchange" in line and "Broadcast" not in line and "Reused" not in line]
+
+
+def test_rows_without_repeated_keys_are_not_moved(spark, small):
+    """Only keys are shuffled to find duplicates; full rows stay where they are."""
+    rows = V.validate(small.raw("student_vle"), "student_vle", small.references("student_vle"))
+    assert not moved_rows(rows)
+
+
+@pytest.mark.parametrize("sent", [20_000, 0])
+def test_only_suspects_are_moved(spark, small, monkeypatch, sent):
+    """With repeated keys too many to send, rows outside their slots still pass without a shuffle, and nothing changes."""
+    raw, references = small.faulted("student_assessment"), small.references("student_assessment")
+    want = sorted(map(str, V.error_codes(V.validate(raw, "student_assessment", references)).collect()))
+    assert any("DUPLICATE" in w for w in want)
+    monkeypatch.setattr(V, "SENT", sent)
+    checked = V.validate(raw, "student_assessment", references)
+    assert sorted(map(str, V.error_codes(checked).collect())) == want
+    assert checked.count() == raw.count()
+    if sent:
+        assert not moved_rows(checked)
+
+
+def test_constraints_read_each_table_once_and_shuffle_once(small):
+    from sparkmart.operators import checks
+
+    marts = small.marts()
+    report = checks.constraint_report(marts)
+    report.collect()
+    plan = plan_of(report).split("Initial Plan")[0]
+    assert plan.count("FileScan parquet") == len(marts)
+    shuffles = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert len(shuffles) <= 2  # all keys; then one row per check
+
+
 def test_serving_filter_reaches_the_dimension_scan(small):
     plan = plan_of(small.train_frame())
     assert "PushedFilters: [In(code_presentation" in plan
