@@ -6,9 +6,11 @@ to tags of each line is smoothed by a Gaussian; lines above the page's
 threshold are the content cluster. The containers that hold most of their
 text in that cluster are the content regions, and all their lines are kept, so
 short paragraphs between long ones stay. Menus, notices and the like are left
-out by what their containers are; a name of class or id does so only if its
-element doesn't hold most of the clustered text, for which such pages are
-parsed twice.
+out by what their containers are. Names of class and id that mean comments,
+notices or adverts leave their elements out whatever these hold. Other names
+are overruled if their element holds most of the clustered text and the page's
+main heading, or nothing is left without it; pages with such names are parsed
+up to three times.
 """
 
 from __future__ import annotations
@@ -35,6 +37,10 @@ NEVER = frozenset("aside button datalist dialog footer form head iframe math men
 NEVER_NAMED = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted promotion recommended related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget widgets".split()
 )
+#: Those of them that say so whatever the element holds: reader comments, notices and adverts.
+NEVER_OVERRULED = frozenset("ad ads adv advert adverts advertisement advertising banner comment comments commentlist consent cookie cookies disqus gdpr notice notices promo promoted promotion replies reply respond sponsor sponsored".split())
+#: Tags that head a page's main text: a named element without them isn't the page's content while other text is left.
+HEADS = frozenset(["h1", "article", "main"])
 NEVER_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 #: Words by which a name says what an element has or lacks, not what it is; and what an article's own parts may be called.
 NOT_ITSELF = frozenset("has have no non not with without free hide hides hidden show shows enable enabled disable disabled".split())
@@ -58,6 +64,7 @@ class _Lines(HTMLParser):
         self.held: dict[tuple[int, int], int] = {}
         self.named: list[dict[tuple[int, int], int]] = []
         self.saw_name = False
+        self.headed: set[tuple[int, int]] = set()  # places of named elements with a main heading
         self.regions = 1
         self.parents = [0]
         self.article = [False]
@@ -99,32 +106,38 @@ class _Lines(HTMLParser):
                 return True
         return False
 
-    def _never_named(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        """Whether one of the element's names says that it is no content."""
+    def _never_named(self, tag: str, attrs: list[tuple[str, str | None]]) -> frozenset[str]:
+        """The words in the element's names that say that it is no content."""
+        found: set[str] = set()
         if tag in ("html", "body", "main", "article", "header"):
-            return False
+            return frozenset()
         for name, value in attrs:
             for token in value.lower().split() if name in ("class", "id") and value else ():
                 words = set(_NAME.findall(token))
                 if self.article[self._region]:
                     words -= OWN_PARTS
-                if words & NEVER_NAMED and not words & NOT_ITSELF:
-                    return True
-        return False
+                if not words & NOT_ITSELF:
+                    found |= words & NEVER_NAMED
+        return frozenset(found)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self._end_line()
         self.tags += 1
+        if tag in HEADS and not self._out and self.inside:
+            self.headed.update(self.inside[-1])
         if tag == "br":
             self.parts.append("\n")
         if tag in VOID:
             return
         out, place, named = self._out or self._left_out(tag, attrs), self.getpos(), False
-        if self._never_named(tag, attrs):
-            self.saw_name = True
-            named = self.exempt is None
-            out = out or not named and place not in self.exempt
+        if words := self._never_named(tag, attrs):
+            if words & NEVER_OVERRULED:
+                out = True
+            else:
+                self.saw_name = True
+                named = self.exempt is None and not out
+                out = out or not named and place not in self.exempt
         if tag in REGIONS or out or named:
             region = self._region
             if tag in REGIONS:
@@ -168,11 +181,14 @@ def _parsed(html: str, exempt: frozenset[tuple[int, int]] | None) -> _Lines:
 
 def lines(html: str) -> _Lines:
     page = _parsed(html, frozenset())
-    return _parsed(html, exempt) if page.saw_name and (exempt := _holding_most(html)) else page
+    if not page.saw_name:
+        return page
+    exempt = _holding_most(html, bool(content(page).any()))
+    return _parsed(html, exempt) if exempt else page
 
 
-def _holding_most(html: str) -> frozenset[tuple[int, int]]:
-    """The elements that are named as no content but hold most of the clustered text of the whole page."""
+def _holding_most(html: str, other: bool) -> frozenset[tuple[int, int]]:
+    """The elements that are named as no content but hold most of the clustered text of the whole page; and, if there is `other` text, its main heading."""
     page = _parsed(html, None)
     if not page.texts:
         return frozenset()
@@ -182,7 +198,7 @@ def _holding_most(html: str) -> frozenset[tuple[int, int]]:
         total += len("".join(page.texts[i].split()))
         for place, n in page.named[i].items():
             held[place] = held.get(place, 0) + n
-    return frozenset(place for place, n in held.items() if 2 * n > total)
+    return frozenset(place for place, n in held.items() if 2 * n > total and (not other or place in page.headed))
 
 
 def _clustered(page: _Lines) -> tuple[np.ndarray, np.ndarray]:
