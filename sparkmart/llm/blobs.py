@@ -22,7 +22,7 @@ def partitions(frame: DataFrame) -> int:
     """Shuffle partitions for work over `frame`: the session's number, or more if the planner's size estimate asks for it."""
     session = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    known = size < 1 << 60  # what joins of unsized frames come to says nothing
+    known = size < 1 << 50  # what unsized frames come to, also after a projection, says nothing
     return max(session, math.ceil(size / PARTITION_BYTES)) if known else session
 
 

@@ -91,18 +91,20 @@ def assign(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int
     The key and the number of shards decide the shard; equal keys, also null
     ones, share it. Slots number the rows of a shard from 0 without gaps, in
     pieces that are counted first, so that no task has a whole shard to number.
-    Equal rows get different slots. A null text has no bytes.
+    Equal rows get different slots. A null text has no bytes. A key with the
+    name of another result column keeps its name, which then stands twice.
     """
-    name = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    own = F.col(f"`{key}`")
+    name = F.coalesce(own.cast("string"), F.lit("null"))
     root = tree(shards)
-    whole = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key), (F.octet_length(whole) + 16).cast("long").alias("size"), F.crc32(whole).alias("text_crc32"), placed(name, root).cast("int").alias("shard"), placed(name, grown(root, shards)).cast("int").alias("grown_shard"))
+    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    rows = docs.select(own.alias("key"), (F.octet_length(whole) + 16).cast("long").alias("size"), F.crc32(whole).alias("text_crc32"), placed(name, root).cast("int").alias("shard"), placed(name, grown(root, shards)).cast("int").alias("grown_shard"))
     pieces = max(1, blobs.partitions(docs) * 4 // shards)
-    rows = rows.withColumn("_piece", F.floor(F.rand(8) * pieces).cast("int"))
+    rows = rows.withColumn("piece", F.floor(F.rand(8) * pieces).cast("int"))
     rows = written(rows, "placed")  # pieces stay as they were drawn
-    counts = rows.groupBy("shard", "_piece").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("shard").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("shard", "_piece").orderBy(key, "text_crc32", "size"))
-    numbered = rows.withColumn("_inside", inside).join(offsets, ["shard", "_piece"])
-    return numbered.select(key, "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("_before") + F.col("_inside") - 1).alias("slot"), "grown_shard")
+    counts = rows.groupBy("shard", "piece").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("shard").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("shard", "piece", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("shard", "piece").orderBy("key", "text_crc32", "size"))
+    numbered = rows.withColumn("inside", inside).join(offsets, ["shard", "piece"])
+    return numbered.select(F.col("key").alias(key), "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("before") + F.col("inside") - 1).alias("slot"), "grown_shard")

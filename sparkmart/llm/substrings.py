@@ -214,17 +214,18 @@ def _kept(words: Words, gone: np.ndarray) -> list[bytes]:
 
 
 def attach(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of `docs`, each with what `found` says of its text."""
-    first, second = text_keys(F.col(text))
-    keyed = docs.withColumn("_key_1", first).withColumn("_key_2", second)
-    other = [F.col(c).alias(c) for c in found.columns if c not in KEYS]
-    found = found.select(F.col(KEYS[0]).alias("_found_1"), F.col(KEYS[1]).alias("_found_2"), *other)
-    joined = keyed.join(found, (F.col("_key_1") == F.col("_found_1")) & (F.col("_key_2") == F.col("_found_2")), "left")
-    return joined.drop("_key_1", "_key_2", "_found_1", "_found_2")
+    """The rows of `docs`, each with what `found` says of its text; columns may have any names."""
+    first, second = text_keys(F.col(f"`{text}`"))
+    own = docs.select(*(F.col(f"`{c}`").alias(f"own_{i}") for i, c in enumerate(docs.columns)), first.alias("own_key_1"), second.alias("own_key_2"))
+    other = [c for c in found.columns if c not in KEYS]
+    found = found.select(F.col(KEYS[0]).alias("found_key_1"), F.col(KEYS[1]).alias("found_key_2"), *(F.col(f"`{c}`").alias(f"found_{i}") for i, c in enumerate(other)))
+    joined = own.join(found, (F.col("own_key_1") == F.col("found_key_1")) & (F.col("own_key_2") == F.col("found_key_2")), "left")
+    return joined.select(*(F.col(f"own_{i}").alias(c) for i, c in enumerate(docs.columns)), *(F.col(f"found_{i}").alias(c) for i, c in enumerate(other)))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
-    """`docs` with `text` replaced by what `repeated_passages` leaves of it; other columns stay as they are."""
-    found = repeated_passages(docs, text, window).select(*KEYS, F.col("kept_text").alias("_kept_text"))
-    columns = [F.col("_kept_text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
+    """`docs` with `text` replaced by what `repeated_passages` leaves of it; other columns stay as they are, whatever their names."""
+    spare = next(name for name in ("_kept_text", *(f"_kept_text_{i}" for i in range(len(docs.columns) + 1))) if name not in docs.columns)
+    found = repeated_passages(docs, text, window).select(*KEYS, F.col("kept_text").alias(spare))
+    columns = [F.col(spare).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
     return attach(docs, found, text).select(*columns)
