@@ -25,9 +25,10 @@ LEAST_SCORE = 0.05
 def language_id(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents with a language; those without a letter, or whose n-grams no language claims, go."""
     filters = languages.fit(docs.where(~languages.held_out(F.col("doc_id"))))
-    found = languages.predict(docs, filters, pred="_lang_pred", score="_lang_score")
-    keep = (F.col("_lang_pred") != languages.UNDECIDED) & (F.col("_lang_score") >= LEAST_SCORE)
-    return found.where(keep).select(*docs.columns)
+    own = docs.select(*(F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(docs.columns)))  # names that can't clash
+    found = languages.predict(own, filters, text=f"kept_{docs.columns.index('text')}", pred="pred", score="score")
+    keep = (F.col("pred") != languages.UNDECIDED) & (F.col("score") >= LEAST_SCORE)
+    return found.where(keep).select(*(F.col(f"kept_{i}").alias(c) for i, c in enumerate(docs.columns)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
