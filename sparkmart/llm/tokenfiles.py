@@ -121,12 +121,13 @@ def write(docs: DataFrame, tokenizer: str, end: int, folder: str, key: str = "do
     """Token files of all texts in `folder`, and their manifest: key, `file`, `part`, `at` (in the file), `n_tokens`, `start` (over all files).
 
     `tokenizer` is the content of a tokenizers file. Documents are in ascending
-    order of their keys (nulls first, equal keys by text); a null text has only
-    the end id. A task that is run again writes another file; only files that
+    order of their keys (nulls first, equal keys by two hashes of the text, so that no text is
+    needed to set ranges); a null text has only the end id. A task that is run again writes another file; only files that
     the manifest names count.
     """
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange(blobs.partitions(docs), "key", "text").sortWithinPartitions("key", "text")
+    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.xxhash64(whole).alias("one"), F.xxhash64(F.lit("second"), whole).alias("two"), whole.alias("text"))
+    ordered = rows.repartitionByRange(blobs.partitions(docs), "key", "one", "two").sortWithinPartitions("key", "one", "two", "text").select("key", "text")
     sent = docs.sparkSession.sparkContext.broadcast(tokenizer)
     kind = np.uint16 if _largest_id(tokenizer, end) < 1 << 16 else np.uint32
 
