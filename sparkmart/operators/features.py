@@ -36,7 +36,7 @@ def build_features(frame: DataFrame) -> DataFrame:
     """Add click change, inactive streak and overdue rate per student and week.
 
     One row per student and week goes in, so a window never exceeds the weeks
-    of one student.
+    of one student. A feature that is missing or not finite raises when it is read.
     """
     needed = {
         *ENTITY, "week_no", "click_count_week", "coursework_due_count_to_week",
@@ -49,18 +49,25 @@ def build_features(frame: DataFrame) -> DataFrame:
     changed = frame.withColumn(
         "click_delta_1w", change_from_previous("click_count_week", ENTITY, "week_no")
     )
-    return with_inactive_streak(changed, "click_count_week", ENTITY, "week_no").withColumn(
+    built = with_inactive_streak(changed, "click_count_week", ENTITY, "week_no").withColumn(
         "coursework_overdue_rate", ratio_or_zero(overdue, due)
     )
+    return built.withColumns({c: _finite(c) for c in ENGINEERED})
+
+
+def _not_finite(c: str) -> Column:
+    v = F.col(c).cast("double")
+    return v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))
+
+
+def _finite(c: str) -> Column:
+    problem = F.raise_error(F.lit(f"{c} is missing or not finite"))
+    return F.when(_not_finite(c), problem).otherwise(F.col(c))
 
 
 def not_finite(df: DataFrame, columns: list[str] = ENGINEERED) -> DataFrame:
     """Rows per engineered column that are NULL, NaN or infinite."""
-    def broken(c: str) -> Column:
-        v = F.col(c).cast("double")
-        return v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))
-
-    totals = df.agg(*[F.count_if(broken(c)).alias(c) for c in columns])
+    totals = df.agg(*[F.count_if(_not_finite(c)).alias(c) for c in columns])
     rows = [
         F.struct(F.lit(f"{c} not finite").alias("check"), F.col(c).alias("violations"))
         for c in columns

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions import calendar as C
 from sparkmart.operators.distribution import placed_counts, quantile
-from sparkmart.schemas import ACTIVITY_TYPES, COURSEWORK_TYPES
+from sparkmart.schemas import ACTIVITY_TYPES, COURSEWORK_TYPES, MART_TYPES
 from sparkmart.sources.numbering import number_rows
 
 COURSE = ["code_module", "code_presentation"]
@@ -291,9 +291,12 @@ def fact_student_week(
     assessments: DataFrame,
     students: DataFrame,
     modules: DataFrame,
+    stored: bool = False,
 ) -> DataFrame:
     """Eleven weekly and cumulative measures per enrolled student and week.
 
+    With ``stored`` the presentation follows, by which the table is partitioned.
+
     Grid and deltas travel together: one exchange on the student serves the
     weekly sums and the running sums. Sums to the week count deltas of grid
     weeks only; settled work counts from any earlier week, because due and
@@ -338,9 +341,12 @@ def fact_student_week(
     ).filter(in_grid)
     due = F.col("coursework_due_count_to_week")
     week, entity = F.col("week_no"), F.col("student_module_presentation_id")
-    return summed.join(
+    joined = summed.join(
         due_by_week(assessments, modules), ["module_presentation_id", "week_no"], "left"
-    ).select(
+    )
+    if stored:
+        joined = joined.join(modules.select("module_presentation_id", PRESENTATION), "module_presentation_id")
+    return joined.select(
         fact_key(entity, week).alias("student_week_id"),
         entity,
         week_id(week).alias("week_id"),
@@ -355,6 +361,7 @@ def fact_student_week(
         F.col("submitted_to_week").cast("int").alias("coursework_submitted_count_to_week"),
         F.col("late_to_week").cast("int").alias("coursework_late_count_to_week"),
         (due - F.col("settled_to_week")).cast("int").alias("coursework_overdue_count_to_week"),
+        *([PRESENTATION] if stored else []),
     )
 
 
@@ -537,6 +544,16 @@ def fact_activity_type_week(
     )
 
 
+# Tables stored in a folder per value of a column that they have only there: frames read few presentations.
+PRESENTATION = "code_presentation"
+PARTITIONED = {"fact_student_module_presentation_week": PRESENTATION}
+
+
+def stored_columns(table: str) -> str:
+    """Declared columns and types of a mart table as stored."""
+    return MART_TYPES[table] + (f", {PARTITIONED[table]} string" if table in PARTITIONED else "")
+
+
 # Function and inputs (zone, table) of every mart table; dimensions come first.
 BUILDERS = {
     "dim_module_presentation": (dim_module_presentation, [("clean", "courses")]),

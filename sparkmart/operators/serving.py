@@ -18,11 +18,14 @@ def star(marts: dict[str, DataFrame], presentations: list[str]) -> DataFrame:
     modules = marts["dim_module_presentation"].filter(
         F.col("code_presentation").isin(presentations)
     )
+    facts = marts["fact_student_module_presentation_week"]
+    if "code_presentation" in facts.columns:
+        # Stored by presentation: folders of others are not read.
+        facts = facts.filter(F.col("code_presentation").isin(presentations)).drop("code_presentation")
     # Students of the wanted presentations first, so that fewer reach the fact join.
     students = marts["dim_student_module_presentation"].join(modules, "module_presentation_id")
     return (
-        marts["fact_student_module_presentation_week"]
-        .join(students, "student_module_presentation_id")
+        facts.join(students, "student_module_presentation_id")
         .join(marts["dim_week"], "week_id")
         .select(
             F.col("student_week_id").cast("bigint").alias("module_presentation_student_week_id"),

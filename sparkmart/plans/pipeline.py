@@ -45,9 +45,12 @@ def _validate_table(snapshot: Snapshot, table: str) -> None:
 
 def _build_mart(snapshot: Snapshot, table: str) -> None:
     build, inputs = mart.BUILDERS[table]
-    written = snapshot.write(
-        "mart", table, build(*[snapshot.read(zone, name) for zone, name in inputs])
-    )
+    tables = [snapshot.read(zone, name) for zone, name in inputs]
+    if table in mart.PARTITIONED:
+        column = mart.PARTITIONED[table]
+        written = snapshot.write("mart", table, build(*tables, stored=True), [column])
+    else:
+        written = snapshot.write("mart", table, build(*tables))
     require_rows(written, table)
 
 

@@ -88,16 +88,31 @@ class Workspace:
         return V.route_quarantine(self.validated(table), table)
 
     def mart(self, table: str) -> DataFrame:
-        return self._written(f"mart/{table}", lambda: self.build_mart(table))
+        """A mart table with its declared columns."""
+        stored = self.stored_mart(table)
+        return stored.drop(M.PARTITIONED[table]) if table in M.PARTITIONED else stored
 
-    def build_mart(self, table: str) -> DataFrame:
+    def stored_mart(self, table: str) -> DataFrame:
+        """A mart table as stored; a partitioned one has its partition column as well."""
+        if table not in M.PARTITIONED:
+            return self._written(f"mart/{table}", lambda: self.build_mart(table))
+
+        def write() -> DataFrame:
+            path = f"{self.folder}/mart/{table}"
+            self.build_mart(table, stored=True).write.partitionBy(M.PARTITIONED[table]).parquet(path)
+            return self.spark.read.schema(M.stored_columns(table)).parquet(path)
+
+        return self._once(f"mart/{table}", write)
+
+    def build_mart(self, table: str, **options: bool) -> DataFrame:
         """A mart table from its inputs, not stored."""
         build, inputs = M.BUILDERS[table]
         zones = {"clean": self.clean, "mart": self.mart}
-        return build(*in_parallel([partial(zones[zone], name) for zone, name in inputs]))
+        return build(*in_parallel([partial(zones[zone], name) for zone, name in inputs]), **options)
 
     def marts(self) -> dict[str, DataFrame]:
-        return dict(zip(S.MART_TYPES, in_parallel([partial(self.mart, t) for t in S.MART_TYPES])))
+        """All mart tables as stored."""
+        return dict(zip(S.MART_TYPES, in_parallel([partial(self.stored_mart, t) for t in S.MART_TYPES])))
 
     def train_frame(self) -> DataFrame:
         return serving.train_frame(self.marts())

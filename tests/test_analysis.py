@@ -164,3 +164,13 @@ def test_profiles_leave_null_out(spark):
     row = profiling.describe(df, ["x"]).first()
     assert (row["count"], row["mean"], row["q50"]) == (3, 2.0, 2.0)
     assert sum(r.n for r in profiling.histogram(df, 3, ["x"]).collect()) == 3
+
+
+@pytest.mark.parametrize("clicks, overdue", [(float("nan"), 1.0), (3.0, float("inf")), (3.0, None)])
+def test_features_that_are_not_finite_raise(spark, clicks, overdue):
+    columns = "code_module string, code_presentation string, id_student long, week_no int, click_count_week double, coursework_due_count_to_week double, coursework_overdue_count_to_week double"
+    rows = [("A", "B", 1, 2, 4.0, 2.0, 1.0), ("A", "B", 1, 3, clicks, 2.0, overdue)]
+    good = features.build_features(spark.createDataFrame(rows[:1], columns)).collect()
+    assert good[0].coursework_overdue_rate == 0.5
+    with pytest.raises(Exception, match="is missing or not finite"):
+        features.build_features(spark.createDataFrame(rows, columns)).collect()

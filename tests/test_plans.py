@@ -75,3 +75,15 @@ def test_constraints_read_each_table_once_and_shuffle_once(small):
 def test_serving_filter_reaches_the_dimension_scan(small):
     plan = plan_of(small.train_frame())
     assert "PushedFilters: [In(code_presentation" in plan
+
+
+def test_frames_read_only_their_presentations(small):
+    """The fact is stored by presentation, and other presentations are not read."""
+    predict, train = small.predict_frame(), small.train_frame()
+    for frame in (predict, train):
+        filters = [line.split("PartitionFilters: ")[1].split("PushedFilters")[0] for line in plan_of(frame).split("\n") if "PartitionFilters: " in line]
+        assert sum("code_presentation" in f for f in filters) == 1
+    name = "fact_student_module_presentation_week"
+    stored = small.stored_mart(name)
+    assert len({f.split("code_presentation=")[1][:5] for f in stored.inputFiles()}) > 1
+    assert small.mart(name).columns == [c.split()[0] for c in S.MART_TYPES[name].split(", ")]
