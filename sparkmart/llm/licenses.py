@@ -19,21 +19,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_SUBJECT = r"this (?:work|program|software|file|library|package|project|code|source code|document)"
+_SUBJECT = r"(?:(?:this|the) )?(?:work|program|software|file|library|package|project|code|source code|document|documentation|content|text)"
 _VERSION = r"(?:(?: version| v)? ?(?P<v>\d+(?: \d+)*)(?: only| or later| or any later version)?)?"
-_FSF = r"you can redistribute it and or modify it under the terms of the gnu {} public license(?: version (?P<v>\d+(?: \d+)*)(?: only)?)? as published by the free software foundation"
+_FSF = r"you can redistribute it and or modify it under the terms of the gnu {} public license(?: version (?P<v>\d+(?: \d+)*)(?: only)?)? as published by the free software foundation(?: either version (?P<later>\d+(?: \d+)*) of the license or at your option any later version)?"
 _CC = r"cc by(?: nc)?(?: sa| nd)?"
 _CC_LONG = r"creative commons attribution(?: noncommercial| non commercial)?(?: sharealike| share alike| noderivatives| noderivs| no derivatives)?"
 #: Known sentences, normalised, as patterns of whole sentences: identifier and text; a group named v is the version.
 SENTENCES = (
-    ("gpl-grant", _SUBJECT + r" is (?:licensed|released|distributed) under the (?:terms of the )?(?:gnu general public license|gnu gpl|gpl)" + _VERSION),
-    ("lgpl-grant", _SUBJECT + r" is (?:licensed|released|distributed) under the (?:terms of the )?(?:gnu (?:lesser|library) general public license|gnu lgpl|lgpl)" + _VERSION),
-    ("agpl-grant", _SUBJECT + r" is (?:licensed|released|distributed) under the (?:terms of the )?(?:gnu affero general public license|gnu agpl|agpl)" + _VERSION),
-    ("cc-grant", r"(?:" + _SUBJECT + r" is )?licensed under (?:a |the )?(?P<name>" + _CC + "|" + _CC_LONG + r") (?P<v>\d+(?: \d+)*)(?: international| unported| generic)?(?: license)?"),
-    ("mit-grant", r"(?:" + _SUBJECT + r" is )?(?:released|licensed|distributed) under the (?:terms of the )?mit license"),
-    ("bsd-grant", r"(?:" + _SUBJECT + r" is )?(?:released|licensed|distributed) under the (?:terms of the )?(?:(?:new|modified|simplified|[234] clause) )?bsd(?: [234] clause)? license"),
-    ("mpl-grant", r"(?:" + _SUBJECT + r" is )?(?:released|licensed|distributed) under the (?:terms of the )?mozilla public license" + _VERSION),
-    ("apache-grant", r"(?:" + _SUBJECT + r" is )?(?:released |distributed )?licensed under the (?:terms of the )?apache license" + _VERSION + r"(?: the license)?"),
+    ("gpl-grant", _SUBJECT + r" is (?:licensed|released|distributed|available|made available) under the (?:terms of the )?(?:gnu general public license|gnu gpl|gpl)" + _VERSION),
+    ("lgpl-grant", _SUBJECT + r" is (?:licensed|released|distributed|available|made available) under the (?:terms of the )?(?:gnu (?:lesser|library) general public license|gnu lgpl|lgpl)" + _VERSION),
+    ("agpl-grant", _SUBJECT + r" is (?:licensed|released|distributed|available|made available) under the (?:terms of the )?(?:gnu affero general public license|gnu agpl|agpl)" + _VERSION),
+    ("cc-grant", r"(?:" + _SUBJECT + r" is )?(?:licensed|released|distributed|available|made available) under (?:the terms of )?(?:a |the )?(?P<name>" + _CC + "|" + _CC_LONG + r") (?P<v>\d+(?: \d+)*)(?: international| unported| generic)?(?: license)?"),
+    ("mit-grant", r"(?:" + _SUBJECT + r" is )?(?:released|licensed|distributed|available|made available) under the (?:terms of the )?mit license"),
+    ("bsd-grant", r"(?:" + _SUBJECT + r" is )?(?:released|licensed|distributed|available|made available) under the (?:terms of the )?(?:(?:new|modified|simplified|[234] clause) )?bsd(?: [234] clause)? license"),
+    ("mpl-grant", r"(?:" + _SUBJECT + r" is )?(?:released|licensed|distributed|available|made available) under the (?:terms of the )?mozilla public license" + _VERSION),
+    ("apache-grant", r"(?:" + _SUBJECT + r" is )?(?:(?:released |distributed )?licensed|released|distributed|available|made available) under the (?:terms of the )?apache license" + _VERSION + r"(?: the license)?"),
     ("asf-contributors", r"licensed to the apache software foundation asf under one or more contributor license agreements"),
     ("asf-grant", r"the asf licenses this file to you under the apache license version (?P<v>\d+(?: \d+)*) the license"),
     ("apache-except", r"you may not use this (?:file|work|software) except in compliance with the license"),
@@ -145,7 +145,7 @@ def _in_paragraph(text: str, begin: int, end: int) -> list[Sentence]:
     for name, pattern in _KNOWN:
         for known in pattern.finditer(normal):
             groups = known.groupdict()
-            version, form = (x and x.replace("/", " ") for x in (groups.get("v"), groups.get("name")))
+            version, form = (x and x.replace("/", " ") for x in (groups.get("v") or groups.get("later"), groups.get("name")))
             first, last = bisect_left(starts, known.start()), bisect_left(starts, known.end()) - 1
             stop = words[last][1]
             if mark := re.match(r"[^\w\s]*[.!?;]", own[stop:]):

@@ -91,3 +91,42 @@ def test_wrapped_texts(text, name, end):
 
 def test_sentences_that_only_mention_a_licence():
     assert licenses.licences("The software was good. A license is needed to drive.\nNobody was licensed under the MIT License of old.") == []
+
+
+FSF_3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU {}General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {}General Public License for more details.
+
+You should have received a copy of the GNU {}General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+
+
+@pytest.mark.parametrize("kind, name", [("", "GPL-3"), ("Lesser ", "LGPL-3"), ("Affero ", "AGPL-3")])
+def test_notices_of_version_3(kind, name):
+    text = FSF_3.format(kind, kind, kind)
+    for own in (text, " ".join(text.split()), text.replace("\n", "\n# ")):
+        assert [n for n, _, _ in licenses.licences("Some words before.\n\n" + own)] == [name]
+
+
+@pytest.mark.parametrize(
+    "text, name",
+    [
+        ("Code is licensed under the MIT License.", "MIT"),
+        ("The documentation is available under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0"),
+        ("The software is distributed under the Apache License, Version 2.0.", "Apache-2.0"),
+        ("Content is available under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+    ],
+)
+def test_grants_of_other_words(text, name):
+    assert [n for n, _, _ in licenses.licences(f"Read this. {text} And that.")] == [name]
+
+
+def test_talk_of_licences_is_no_licence():
+    for text in ("She has a licence for the software.", "We talked about the GNU General Public License.", "The MIT License is short.", "A driver is licensed under the law."):
+        assert licenses.licences(text) == []
