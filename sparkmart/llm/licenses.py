@@ -109,7 +109,7 @@ RULES = tuple(
     )
 )
 #: Words that every known sentence has one of; paragraphs without them aren't normalised.
-HINT = re.compile(r"licen[cs]e|permi|software|redistribution|warrant|liab|advertising|\bmpl\b", re.IGNORECASE)
+HINT = re.compile(r"licen[cs]e|permi|software|redistribution|warrant|liab|advertising|\bmpl\b|\bcc\W{1,3}by\b|creative\W{1,3}commons", re.IGNORECASE)
 #: In a normalised paragraph "." stands after a sentence, "/" after a line or a colon, and " " after any other word.
 _KNOWN = [(name, re.compile(r"(?:^|(?<=[./]))" + pattern.replace(" ", "[ /]").replace(".*", "[^.]*") + r"(?=[./])")) for name, pattern in SENTENCES]
 #: A line without letters or digits ends a paragraph.
