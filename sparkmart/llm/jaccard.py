@@ -3,19 +3,21 @@
 Two sets with `100 * |x & y| >= 75 * |x | y|` share an n-gram among the first
 `n - ceil(0.75 n) + 1` of each, in any order common to all documents. The order
 taken puts rare n-grams first, as counted over all documents in a table of
-fixed size, and hashes decide among equals; it only steers the amount of work.
-
-1. These n-grams of every distinct text are dealt into blocks by hash. In a
-   block, documents that share one and whose sizes allow a link are paired. In
-   a group of more than `SMALL` documents only one, the leader, is paired with
-   the others.
-2. Leaders travel to the buckets of their partners, where products of the two
-   blocks' incidence count overlaps exactly.
-3. Groups of more than `SMALL` that this leaves in several parts make clusters.
-   In one of at most `MOST_BLOCKS` blocks, the documents outside its largest
-   part are multiplied with all of it, in blocks of documents by blocks of
-   n-grams. In wider ones, groups get further leaders. Either way is exact:
-   what is not compared is connected already or ruled out by size.
+bounded size, and hashes decide among equals; it only steers the amount of work.
+
+1. These n-grams of every distinct text, the sparse columns of the incidence
+   matrix, are dealt into blocks by hash. Each block says which cells of the
+   product are asked for: documents that share a column and whose sizes allow a
+   link. In a column of more than `SMALL` documents only those of one row, its
+   leader's, are.
+2. Rows travel to the document blocks of their partners. There the asked cells
+   are summed over blocks of n-grams, and a cell is dropped as soon as its count
+   and the n-grams left in both sets can't reach what their sizes demand.
+3. Columns of more than `SMALL` documents that this leaves in several parts make
+   clusters. Tiles of documents outside a cluster's largest part by documents of
+   like size are multiplied whole, and say only which of their documents are
+   joined: as many rows as documents, not as pairs. What isn't multiplied is
+   joined already or ruled out by size.
 """
 
 from __future__ import annotations
@@ -41,10 +43,10 @@ SMALL = 16
 BLOCK, COLUMNS = 1024, 4096
 #: A column with more than this part of all pairs of two blocks is multiplied as a dense one; pairs counted at once for the others.
 DENSE, PAIRS = 128, 1 << 22
-#: Clusters of more blocks are left to further leaders.
-MOST_BLOCKS = 3
+#: Parts of the range of hashes that the columns of asked cells are summed in; n-grams looked up at once.
+SLICES, LOOKUPS = 4, 1 << 20
 #: Counters of the rarity table, at least and at most; the table is sent to all tasks with one byte each.
-RARITY_BITS = (18, 26)
+RARITY_BITS = (22, 26)
 
 FIRSTS = {"gram": np.uint64, "ordinal": np.uint32, "size": np.uint32}
 KIND_LINK, KIND_NODE, KIND_ENTRY, KIND_TEXT = 0, 1, 2, 3
@@ -76,10 +78,11 @@ def _rarity(docs: DataFrame, text: str, width: int, bits: int) -> np.ndarray:
     per = (1 << bits) // slices
 
     def count(batches):
-        total = np.zeros(1 << bits, np.int64)
+        total = np.zeros(1 << bits, np.uint32)
         for batch in steps(batches):
             grams, _ = shingle_sets(batch["text"], width)
-            total += np.bincount((grams & U((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
+            at, n = np.unique((grams & U((1 << bits) - 1)).astype(np.uint32), return_counts=True)
+            total[at] += n.astype(np.uint32)
         low = (total & 255).astype(np.uint8)
         for i in range(slices):
             own = slice(i * per, (i + 1) * per)
@@ -194,24 +197,60 @@ _SENT = "bucket int, a long, partners binary, text string"
 
 
 def _overlaps(sets: tuple[np.ndarray, np.ndarray], ordinals: np.ndarray, sent: pa.Table, width: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (leader, ordinal here) among the pairs that were sent: overlaps are products of the two incidence blocks."""
+    """Links (leader, ordinal here) among the pairs that were sent."""
     partners = [np.frombuffer(p, np.uint32) for p in sent["partners"].to_pylist()]
     counts = np.fromiter(map(len, partners), np.int64, len(partners))
     leader = np.repeat(np.arange(len(partners)), counts)
     here = np.searchsorted(ordinals, np.concatenate(partners)) if partners else np.zeros(0, np.int64)
-    mine, my_first = sets
-    theirs, their_first = shingle_sets(sent["text"], width)
-    linked = np.zeros(len(leader), bool)
-    for i, (x, y) in enumerate(zip(leader.tolist(), here.tolist(), strict=True)):
-        one, two = theirs[their_first[x] : their_first[x + 1]], mine[my_first[y] : my_first[y + 1]]
-        small, big = (one, two) if len(one) <= len(two) else (two, one)
-        at = np.searchsorted(big, small)
-        at[at == len(big)] = 0
-        shared = int(np.count_nonzero(big[at] == small)) if len(big) else 0
-        linked[i] = shared > 0 and 100 * shared >= percent * (len(one) + len(two) - shared)
+    linked = _asked_cells(shingle_sets(sent["text"], width), sets, leader, here, percent)
     return sent["a"].to_numpy()[leader[linked]], ordinals[here[linked]]
 
 
+def _asked_cells(rows: tuple[np.ndarray, np.ndarray], others: tuple[np.ndarray, np.ndarray], x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Which cells (x, y) of the product of two incidence blocks are links.
+
+    Columns come in SLICES by hash. After each, cells go whose count and the
+    columns left in the smaller rest stay below the overlap that their sizes
+    demand.
+    """
+    (grams, first), (other_grams, other_first) = rows, others
+    size, other_size = np.diff(first)[x], np.diff(other_first)[y]
+    demand = -(-percent * (size + other_size) // (100 + percent))
+    columns, other_at = np.unique(other_grams, return_inverse=True)
+    at = np.searchsorted(columns, grams)
+    at[at == len(columns)] = 0
+    known = columns[at] == grams if len(columns) else np.zeros(len(grams), bool)
+    places = np.repeat(np.arange(len(other_first) - 1), np.diff(other_first)) * len(columns) + other_at  # ascending
+    edges, other_edges = _slice_edges(grams, first), _slice_edges(other_grams, other_first)
+    counts = np.zeros(len(x), np.int64)
+    left = np.flatnonzero((size > 0) & (np.minimum(size, other_size) >= demand))
+    for part in range(SLICES):
+        begin, n = edges[part][x[left]], (edges[part + 1] - edges[part])[x[left]]
+        turns = np.cumsum(n) // LOOKUPS
+        for own in np.split(np.arange(len(left)), np.flatnonzero(np.diff(turns)) + 1):
+            cell = np.repeat(own, n[own])
+            entry = begin[cell] + np.arange(len(cell)) - np.repeat(np.cumsum(n[own]) - n[own], n[own])
+            hit = known[entry]
+            cell, entry = cell[hit], entry[hit]
+            if not len(cell):
+                continue
+            place = y[left[cell]] * len(columns) + at[entry]
+            found = np.searchsorted(places, place)
+            found[found == len(places)] = 0
+            cell = cell[places[found] == place]
+            counts[left] += np.bincount(cell, minlength=len(left))
+        rest = np.minimum((first[1:] - edges[part + 1])[x[left]], (other_first[1:] - other_edges[part + 1])[y[left]])
+        left = left[counts[left] + rest >= demand[left]]
+    return left
+
+
+def _slice_edges(grams: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Where each slice of the range of hashes begins in each set (one place more than slices)."""
+    part = ((grams >> U(32)) * U(SLICES) >> U(32)).astype(np.int64)
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    return [first[:-1] + np.bincount(owner[part < s], minlength=len(first) - 1) for s in range(SLICES + 1)]
+
+
 def similar_texts(docs: DataFrame, text: str = "text", width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Each distinct text once: its two keys, `ref`, `n_shingles` and `component`, the smallest ref that links lead to.
 
@@ -222,7 +261,7 @@ def similar_texts(docs: DataFrame, text: str = "text", width: int = SHINGLE, per
     """
     texts = distinct_texts(docs, text)
     n, deal = blobs.buckets(docs), blobs.partitions(docs)
-    bits = min(max(RARITY_BITS[0], math.ceil(math.log2(deal)) + 14), RARITY_BITS[1])
+    bits = min(max(RARITY_BITS[0], math.ceil(math.log2(deal)) + 20), RARITY_BITS[1])
     level = docs.sparkSession.sparkContext.broadcast(_rarity(docs, text, width, bits))
 
     def firsts(table: pa.Table) -> pa.Table:
@@ -284,20 +323,22 @@ def similar_texts(docs: DataFrame, text: str = "text", width: int = SHINGLE, per
         said.where(F.col("kind") == KIND_ENTRY).select("bucket", "a", F.lit(None).cast("binary"), F.lit(None).cast("string"), "gram", "size")
     )
     found = written(texts.groupBy("bucket").cogroup(sent.groupBy("bucket")).applyInArrow(multiply, _Out.SCHEMA), "jaccard", "kind")
+    level.unpersist()  # what follows reads the written table
     links = found.where(F.col("kind") == KIND_LINK).select("a", "b")
-    links = _further_links(found, links, width, percent, deal)
+    links = _tile_links(found, links, width, percent, deal)
     labels = components(links)
     nodes = found.where(F.col("kind") == KIND_NODE).select(*KEYS, F.col("a").alias("ref"), F.col("size").alias("n_shingles"))
     return nodes.join(labels, nodes["ref"] == labels["node"], "left").select(*KEYS, "ref", "n_shingles", F.coalesce("label", "ref").alias("component"))
 
 
-def _further_links(found: DataFrame, links: DataFrame, width: int, percent: int, deal: int) -> DataFrame:
-    """Links, as far as they join parts, between documents of large groups that the leaders left in several parts.
+def _tile_links(found: DataFrame, links: DataFrame, width: int, percent: int, deal: int) -> DataFrame:
+    """`links`, and those that join parts of columns of many documents that the leaders left in several parts.
 
-    Such groups make clusters. In one of few blocks, documents outside its
-    largest part are multiplied with all of it, block by block; one task holds
-    two blocks. In a wider one, groups get further leaders instead, which
-    leaves unrelated groups of a cluster alone.
+    Such columns make clusters. Documents of one are banded by size, so that
+    links reach the next band at most, and dealt into blocks of about BLOCK in
+    a band. One task multiplies a tile: a block of documents outside the
+    cluster's largest part by one of the largest part, or by another one
+    outside.
     """
     entries = found.where(F.col("kind") == KIND_ENTRY).select("gram", F.col("a").alias("ref"), "size")
     own = entries.select("ref").distinct()
@@ -305,19 +346,25 @@ def _further_links(found: DataFrame, links: DataFrame, width: int, percent: int,
     parts = components(near)
     marked = entries.join(parts, entries["ref"] == parts["node"], "left").select("gram", "ref", "size", F.coalesce("label", "ref").alias("part"))
     groups = marked.groupBy("gram").agg(F.min("ref").alias("first"), F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("gram", "first")
-    open_ = written(marked.join(groups, "gram").select("gram", "ref", "size", "part", "first"), "open_groups")
+    open_ = written(marked.join(groups, "gram").select("ref", "size", "part", "first"), "open_groups")
     clusters = components(open_.select(F.col("ref").alias("a"), F.col("first").alias("b")))
-    members = open_.select("ref", "part").distinct().join(clusters, F.col("ref") == clusters["node"], "left").select("ref", "part", F.coalesce("label", "ref").alias("cluster"))
-    sizes = members.groupBy("cluster", "part").agg(F.count("*").alias("n")).groupBy("cluster").agg(F.max_by("part", "n").alias("largest"), F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
-    members = members.join(sizes, "cluster").select("ref", "cluster", "blocks", (F.col("part") != F.col("largest")).alias("outside"), F.pmod(F.xxhash64("ref"), "blocks").cast("int").alias("block"))
-    texts = found.where(F.col("kind") == KIND_TEXT).select("bucket", F.col("a").alias("ref"), "text")
-    placed = written(members, "clusters")
-    wide = placed.where(F.col("blocks") > MOST_BLOCKS).select("ref")
-    links = _led_links(open_.select("gram", "ref", "size").join(wide, "ref", "left_semi"), texts.join(wide, "ref", "left_semi"), links, width, percent, deal)
-    members = placed.where(F.col("blocks") <= MOST_BLOCKS).join(texts.select("ref", "text"), "ref")
-    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = members.where("outside").select("cluster", F.col("block").alias("i"), others.alias("j"), F.lit(True).alias("leads"), "ref", "text")
-    right = members.select("cluster", others.alias("i"), F.col("block").alias("j"), F.lit(False).alias("leads"), "ref", "text")
+    band = F.floor(F.log(F.col("size")) / (math.log(100 / percent) + 1e-6)).cast("int")  # sizes that allow a link differ by one band at most
+    members = open_.select("ref", "part", band.alias("band")).distinct()
+    members = members.join(clusters, F.col("ref") == clusters["node"], "left").select("ref", "part", "band", F.coalesce("label", "ref").alias("cluster"))
+    largest = members.groupBy("cluster", "part").agg(F.count("*").alias("n")).groupBy("cluster").agg(F.max_by("part", F.struct("n", "part")).alias("largest"))
+    members = members.join(largest, "cluster").select("ref", "cluster", "band", (F.col("part") != F.col("largest")).alias("outside"))
+    sizes = members.groupBy("cluster", "band", "outside").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    texts = found.where(F.col("kind") == KIND_TEXT).select(F.col("a").alias("ref"), "text")
+    place = F.struct("band", F.pmod(F.xxhash64("ref"), "blocks").cast("int").alias("block"), "outside")
+    placed = written(members.join(sizes, ["cluster", "band", "outside"]).select("ref", "cluster", place.alias("place")), "clusters")
+    blocks = sizes.select("cluster", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct("band", i.alias("block"), "outside"))).alias("place"))
+    left = blocks.where("place.outside").withColumnRenamed("place", "one")
+    tiles = left.join(blocks.withColumnRenamed("place", "two"), "cluster").where("abs(one.band - two.band) <= 1 AND (NOT two.outside OR one <= two)")
+    tiles = written(tiles.select("cluster", "one", "two"), "tiles")
+    sides = [
+        placed.join(tiles.select("cluster", F.col(side).alias("place"), "one", "two"), ["cluster", "place"]).select("cluster", "one", "two", F.lit(side == "one").alias("leads"), "ref")
+        for side in ("one", "two")
+    ]
 
     def multiply(table: pa.Table) -> pa.Table:
         leads = table["leads"].to_numpy(zero_copy_only=False)
@@ -329,89 +376,11 @@ def _further_links(found: DataFrame, links: DataFrame, width: int, percent: int,
         joined = np.flatnonzero(labels != np.arange(len(known)))
         return pa.table({"a": pa.array(known[joined]), "b": pa.array(known[labels[joined]])})
 
-    more = left.union(right).repartition(deal, "cluster", "i", "j").groupBy("cluster", "i", "j").applyInArrow(multiply, "a long, b long")
+    held = sides[0].union(sides[1]).join(texts, "ref").select("cluster", "one", "two", "leads", "ref", "text")
+    more = held.repartition(deal, "cluster", "one", "two").groupBy("cluster", "one", "two").applyInArrow(multiply, "a long, b long")
     return links.union(written(more, "links"))
 
 
-def _led_links(entries: DataFrame, texts: DataFrame, links: DataFrame, width: int, percent: int, deal: int) -> DataFrame:
-    """Links that further leaders of the groups in `entries` find, twice as many in each round, until every pair is compared, connected or ruled out."""
-    entries = entries.select("gram", "ref", "size", F.col("ref").alias("label"), F.lit(0).alias("led"))
-    size = 1
-    while True:
-        own = entries.select("ref").distinct()
-        near = links.join(own.withColumnRenamed("ref", "a"), "a", "left_semi").join(own.withColumnRenamed("ref", "b"), "b", "left_semi")
-        labels = components(near)
-        labels = own.join(labels, own["ref"] == labels["node"], "left").select("ref", F.coalesce("label", "ref").alias("label"))
-        elected = written(
-            entries.drop("label").join(labels, "ref").repartition(deal, "gram").groupBy("gram").applyInArrow(_electing(size, percent), "kind int, gram long, ref long, size long, label long, led int, other long"), "leaders"
-        )
-        pairs = elected.where("kind = 0").select(F.col("ref").alias("a"), F.col("other").alias("b")).distinct()
-        if not elected.head(1):  # no group is open any more
-            return links
-        entries = elected.where("kind = 1").select("gram", "ref", "size", "label", "led")
-
-        def send(table: pa.Table, asked: pa.Table) -> pa.Table:
-            if not table.num_rows or not asked.num_rows:
-                return pa.table({"bucket": pa.array([], pa.int32()), "a": pa.array([], pa.int64()), "partners": pa.array([], pa.binary()), "text": pa.array([], pa.string())})
-            own = table.sort_by("ref")
-            return _sent(own["bucket"][0].as_py(), own, own["ref"].to_numpy() & 0xFFFFFFFF, asked)
-
-        def multiply(table: pa.Table, sent: pa.Table) -> pa.Table:
-            if not table.num_rows or not sent.num_rows:
-                return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-            own = table.sort_by("ref")
-            a, b = _overlaps(shingle_sets(own["text"], width), own["ref"].to_numpy() & 0xFFFFFFFF, sent, width, percent)
-            return pa.table({"a": pa.array(a), "b": pa.array(_refs(own["bucket"][0].as_py(), b))})
-
-        asked = pairs.select((F.shiftright("a", 32)).cast("int").alias("bucket"), "a", "b")
-        sent = texts.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(send, _SENT)
-        more = texts.groupBy("bucket").cogroup(sent.groupBy("bucket")).applyInArrow(multiply, "a long, b long")
-        links = links.union(written(more, "links"))
-        size *= 2
-
-
-def _electing(most: int, percent: int):
-    """The next leaders of one group, up to `most`, from outside its largest part; or nothing if the group is one part."""
-
-    def elect(table: pa.Table) -> pa.Table:
-        ref, size, label, led = (table[c].to_numpy() for c in ("ref", "size", "label", "led"))
-        order = np.argsort(_priority(ref), kind="stable")
-        ref, size, label, led = ref[order], size[order], label[order], led[order].copy()
-        if not led.any():
-            led[0] = 1  # the leader of the first round
-        open_ = np.flatnonzero(led == 0)
-        parts, counts = np.unique(label[open_], return_counts=True)
-        form = {"kind": pa.int32(), "gram": pa.int64(), "ref": pa.int64(), "size": pa.int64(), "label": pa.int64(), "led": pa.int32(), "other": pa.int64()}
-        if len(parts) < 2:
-            return pa.table({k: pa.array([], t) for k, t in form.items()})
-        outside = open_[label[open_] != parts[counts.argmax()]]
-        _, one_each = np.unique(label[outside], return_index=True)
-        one_each = outside[np.sort(one_each)]
-        leaders = np.concatenate([one_each, np.setdiff1d(outside, one_each)])[:most]
-        a, b = [], []
-        for i in leaders.tolist():
-            led[i] = 1
-            others = np.flatnonzero((led == 0) & (label != label[i]) & _may_link(size, size[i], percent))
-            a.append(np.full(len(others), ref[i]))
-            b.append(ref[others])
-        a, b = np.concatenate(a), np.concatenate(b)
-        n, m = len(a), len(ref)
-        gram = table["gram"][0].as_py()
-        return pa.table(
-            {
-                "kind": pa.array(np.repeat([0, 1], [n, m]).astype(np.int32)),
-                "gram": pa.array(np.full(n + m, gram, np.int64)),
-                "ref": pa.array(np.concatenate([a, ref])),
-                "size": pa.array(np.concatenate([np.zeros(n, np.int64), size])),
-                "label": pa.array(np.concatenate([np.zeros(n, np.int64), label])),
-                "led": pa.array(np.concatenate([np.zeros(n, np.int32), led]).astype(np.int32)),
-                "other": pa.array(np.concatenate([b, np.zeros(m, np.int64)])),
-            }
-        )
-
-    return elect
-
-
 def _product(one: pa.Array, two: pa.Array, refs_one: np.ndarray, refs_two: np.ndarray, width: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Links between two blocks of texts by the product of their incidence matrices.
 
