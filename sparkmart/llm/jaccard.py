@@ -78,17 +78,16 @@ def _rarity(docs: DataFrame, text: str, width: int, bits: int) -> np.ndarray:
     per = (1 << bits) // slices
 
     def count(batches):
-        total = np.zeros(1 << bits, np.uint32)
+        total = np.zeros(1 << bits, np.uint16)  # counts of one task; those beyond its range are as good as frequent
         for batch in steps(batches):
             grams, _ = shingle_sets(batch["text"], width)
             at, n = np.unique((grams & U((1 << bits) - 1)).astype(np.uint32), return_counts=True)
-            total[at] += n.astype(np.uint32)
-        low = (total & 255).astype(np.uint8)
+            total[at] = np.minimum(total[at] + n, 65535)
         for i in range(slices):
-            own = slice(i * per, (i + 1) * per)
-            at = np.flatnonzero(total[own] > 255).astype(np.uint32)
+            own = total[i * per : (i + 1) * per]
+            at = np.flatnonzero(own > 255).astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([i], pa.int32()), pa.array([low[own].tobytes()]), pa.array([at.tobytes()]), pa.array([(total[own][at] >> 8).astype(np.int64).tobytes()])],
+                [pa.array([i], pa.int32()), pa.array([own.astype(np.uint8).tobytes()]), pa.array([at.tobytes()]), pa.array([(own[at] >> 8).astype(np.int64).tobytes()])],
                 names=["slice", "low", "place", "high"],
             )
 
@@ -216,23 +215,25 @@ def _asked_cells(rows: tuple[np.ndarray, np.ndarray], others: tuple[np.ndarray,
     (grams, first), (other_grams, other_first) = rows, others
     size, other_size = np.diff(first)[x], np.diff(other_first)[y]
     demand = -(-percent * (size + other_size) // (100 + percent))
-    columns, other_at = np.unique(other_grams, return_inverse=True)
-    at = np.searchsorted(columns, grams)
-    at[at == len(columns)] = 0
-    known = columns[at] == grams if len(columns) else np.zeros(len(grams), bool)
-    places = np.repeat(np.arange(len(other_first) - 1), np.diff(other_first)) * len(columns) + other_at  # ascending
-    edges, other_edges = _slice_edges(grams, first), _slice_edges(other_grams, other_first)
     counts = np.zeros(len(x), np.int64)
     left = np.flatnonzero((size > 0) & (np.minimum(size, other_size) >= demand))
+    asked = np.zeros(len(other_first) - 1, bool)
+    asked[y[left]] = True
+    columns, at = np.unique(grams, return_inverse=True)
+    owner = np.repeat(np.flatnonzero(asked), np.diff(other_first)[asked])
+    other = other_grams[np.repeat(asked, np.diff(other_first))]
+    column = np.searchsorted(columns, other)
+    column[column == len(columns)] = 0
+    known = columns[column] == other if len(columns) else np.zeros(len(other), bool)
+    places = owner[known] * len(columns) + column[known]  # ascending
+    edges, other_edges = _slice_edges(grams, first), _slice_edges(other_grams, other_first)
     for part in range(SLICES):
         begin, n = edges[part][x[left]], (edges[part + 1] - edges[part])[x[left]]
         turns = np.cumsum(n) // LOOKUPS
         for own in np.split(np.arange(len(left)), np.flatnonzero(np.diff(turns)) + 1):
             cell = np.repeat(own, n[own])
             entry = begin[cell] + np.arange(len(cell)) - np.repeat(np.cumsum(n[own]) - n[own], n[own])
-            hit = known[entry]
-            cell, entry = cell[hit], entry[hit]
-            if not len(cell):
+            if not len(cell) or not len(places):
                 continue
             place = y[left[cell]] * len(columns) + at[entry]
             found = np.searchsorted(places, place)
@@ -261,7 +262,7 @@ def similar_texts(docs: DataFrame, text: str = "text", width: int = SHINGLE, per
     """
     texts = distinct_texts(docs, text)
     n, deal = blobs.buckets(docs), blobs.partitions(docs)
-    bits = min(max(RARITY_BITS[0], math.ceil(math.log2(deal)) + 20), RARITY_BITS[1])
+    bits = min(max(RARITY_BITS[0], math.ceil(math.log2(deal)) + 19), RARITY_BITS[1])
     level = docs.sparkSession.sparkContext.broadcast(_rarity(docs, text, width, bits))
 
     def firsts(table: pa.Table) -> pa.Table:
