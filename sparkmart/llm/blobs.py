@@ -18,12 +18,17 @@ PARTITION_BYTES = 64 << 20
 BUCKETS_PER_PARTITION = 2
 
 
+def planned_bytes(frame: DataFrame) -> int:
+    """The planner's size estimate; of an unsized frame, what the session's shuffle partitions are planned for."""
+    size = int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    known = size < 1 << 50  # what unsized frames come to, also after a projection, says nothing
+    return size if known else PARTITION_BYTES * int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def partitions(frame: DataFrame) -> int:
     """Shuffle partitions for work over `frame`: the session's number, or more if the planner's size estimate asks for it."""
     session = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    known = size < 1 << 50  # what unsized frames come to, also after a projection, says nothing
-    return max(session, math.ceil(size / PARTITION_BYTES)) if known else session
+    return max(session, math.ceil(planned_bytes(frame) / PARTITION_BYTES))
 
 
 def buckets(frame: DataFrame) -> int:

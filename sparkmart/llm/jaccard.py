@@ -45,8 +45,9 @@ BLOCK, COLUMNS = 1024, 4096
 DENSE, PAIRS = 128, 1 << 22
 #: Parts of the range of hashes that the columns of asked cells are summed in; n-grams looked up at once.
 SLICES, LOOKUPS = 4, 1 << 20
-#: Counters of the rarity table, at least and at most; the table is sent to all tasks with one byte each.
+#: Counters of the rarity table, at least and at most, and bytes of input for each; the table is sent to all tasks with one byte each.
 RARITY_BITS = (22, 26)
+BYTES_A_COUNTER = 64
 
 FIRSTS = {"gram": np.uint64, "ordinal": np.uint32, "size": np.uint32}
 KIND_LINK, KIND_NODE, KIND_ENTRY, KIND_TEXT = 0, 1, 2, 3
@@ -262,7 +263,7 @@ def similar_texts(docs: DataFrame, text: str = "text", width: int = SHINGLE, per
     """
     texts = distinct_texts(docs, text)
     n, deal = blobs.buckets(docs), blobs.partitions(docs)
-    bits = min(max(RARITY_BITS[0], math.ceil(math.log2(deal)) + 19), RARITY_BITS[1])
+    bits = min(max(RARITY_BITS[0], (blobs.planned_bytes(docs) // BYTES_A_COUNTER).bit_length()), RARITY_BITS[1])
     level = docs.sparkSession.sparkContext.broadcast(_rarity(docs, text, width, bits))
 
     def firsts(table: pa.Table) -> pa.Table:
