@@ -34,6 +34,8 @@ CHARACTERISTIC = 0.5
 RAREST = 1e-6
 #: Languages of one block of filters, the bits of one word.
 BLOCK = 64
+#: Text bytes whose n-grams are listed at once (a longer text is taken whole), and n-grams looked up at once: an n-gram takes some sixty bytes of arrays.
+STEP_BYTES, LOOKUPS = 1 << 20, 1 << 19
 
 #: Bytes apart from ASCII letters (lower case by then) and longer characters count as space.
 LETTERS = np.full(256, 0x20, np.uint8)
@@ -106,6 +108,15 @@ class Filters:
             out &= bits[place]
         return out
 
+    def counts(self, block: int, gram: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+        """How many n-grams of each text each language of one block claims."""
+        out = np.zeros((min(BLOCK, len(self.languages) - block * BLOCK), texts), np.int64)
+        for at in range(0, len(gram), LOOKUPS):
+            sets, own = self.hits(_places(gram[at : at + LOOKUPS]), block), owner[at : at + LOOKUPS]
+            for i in range(len(out)):
+                out[i] += np.bincount(own[(sets >> sets.dtype.type(i)) & sets.dtype.type(1) > 0], minlength=texts)
+        return out
+
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
     """Filters learned from all rows of `labelled` that have a text and a language.
@@ -133,7 +144,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
             if len(known) > 8:
                 sums[language] = [_counted(np.concatenate([g for g, _ in known]), np.concatenate([c for _, c in known]))]
 
-        for batch in steps(batches):
+        for batch in steps(batches, STEP_BYTES):
             mine = np.array([number.get(x, -1) for x in batch["lang"].to_pylist()])
             for language in np.unique(mine[mine >= 0]).tolist():
                 gram, _ = grams(batch["text"].filter(pa.array(mine == language)))
@@ -214,18 +225,15 @@ def predict(docs: DataFrame, filters: Filters, text: str = "text", pred: str = "
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = model.value
-        for batch in steps(batches):
+        for batch in steps(batches, STEP_BYTES):
             own = batch.column(batch.num_columns - 1)
             lettered = np.array(own.is_valid())
             best, most = np.zeros(batch.num_rows, np.int64), np.full(batch.num_rows, -1.0)
             gram, owner = grams(own)
             n = np.maximum(np.bincount(owner, minlength=batch.num_rows), 1)
-            places = _places(gram)
             for block in range(len(known.blocks)):
-                sets = known.hits(places, block)
-                for i in range(block * BLOCK, min((block + 1) * BLOCK, len(known.languages))):
+                for i, hit in enumerate(known.counts(block, gram, owner, batch.num_rows), block * BLOCK):
                     wrong = known.wrong[i]
-                    hit = np.bincount(owner[(sets >> sets.dtype.type(i % BLOCK)) & sets.dtype.type(1) > 0], minlength=batch.num_rows)
                     share = np.clip((hit - n * wrong) / (1 - wrong) / n, 0, 1) if wrong < 1 else np.zeros(batch.num_rows)
                     more = share > most
                     best[more], most[more] = i, share[more]

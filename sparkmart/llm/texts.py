@@ -63,13 +63,13 @@ def gathered(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
     return table.take(pa.array(first)), np.diff(np.append(first, table.num_rows)) > 1
 
 
-def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches whose last column holds about STEP_BYTES at most, or one row."""
+def steps(batches: Iterator[pa.RecordBatch], most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches whose last column holds about `most` bytes, or one row."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
         start, size = 0, 0
         for i, own in enumerate(sizes.tolist()):
-            if size and size + own > STEP_BYTES:
+            if size and size + own > most:
                 yield batch.slice(start, i - start)
                 start, size = i, 0
             size += own
