@@ -22,9 +22,11 @@ from .pretokens import Pretokens
 from .texts import steps
 from .words import U, mix, piece_hashes
 
-#: Keys per bucket of the perfect hash, and pieces that a worker remembers.
+#: Keys per bucket of the perfect hash; pieces that a worker remembers, and bytes of the longest one.
 KEYS_PER_BUCKET = 4
-REMEMBERED = 1 << 20
+REMEMBERED, LONGEST = 1 << 18, 64
+#: Text bytes that are split at once (a longer text is taken whole): a byte takes some sixty bytes of arrays.
+STEP_BYTES = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -149,7 +151,9 @@ class Vocabulary:
             if known is None:
                 # the vocabulary itself has the last word on a whole piece
                 ids = [rank] if rank >= 0 and self.tokens[rank] == piece else [self.ranks[piece]] if piece in self.ranks else self.merged(piece)
-                known = remembered[piece] = (" ".join(map(str, ids)), self.decode(ids), len(ids))
+                known = (" ".join(map(str, ids)), self.decode(ids), len(ids))
+                if len(piece) <= LONGEST:
+                    remembered[piece] = known
             out.append(known)
         return out, which
 
@@ -177,7 +181,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
-        for batch in steps(batches):
+        for batch in steps(batches, STEP_BYTES):
             found = Pretokens(batch.column(batch.num_columns - 1))
             pieces, which = known.pieces(found)
             ids = np.array([p[0] for p in pieces], object)
