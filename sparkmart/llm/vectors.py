@@ -4,9 +4,10 @@ Unit vectors with a cosine of at least c lie within eps = sqrt(2 - 2c) of each
 other. Vectors are turned so that the principal dimensions lead, and sorted by
 their grid cells of width eps in the leading ones. The sequence is cut into
 intervals; two intervals meet if their cells in the first dimension touch and
-their boxes are no further apart than eps. A meeting splits both sequences
-again and again, drops parts whose boxes are too distant, and compares what is
-left by products in double precision.
+their boxes are no further apart than eps. Parts of the table of intervals meet
+where they are read, so no pair of intervals is written or shuffled. A meeting
+splits both sequences again and again, drops parts whose boxes are too distant,
+and compares what is left by products in double precision.
 
 A meeting says how many links each vector has and which vectors hang together,
 not every link, so a group of near copies costs as many rows as it has vectors.
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import blobs
@@ -136,17 +137,18 @@ def near_vectors(frame: DataFrame, key: str = "vec_id", vector: str = "embedding
     Equal vectors are compared once and weigh as many as they are. A null key
     is never the smallest of a component; a row without links keeps its own.
     """
-    columns = frame.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"))
+    columns = frame.select(F.col(key).alias("key"), F.col(vector).alias("vector"))
+    if dict(columns.dtypes)["vector"] != "array<float>":  # floats stay as they are until they are compared, in half the space
+        columns = columns.withColumn("vector", F.col("vector").cast("array<double>"))
     finite = F.coalesce(F.size("vector") > 0, F.lit(False)) & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0)
     columns = columns.withColumn("fine", F.coalesce(finite, F.lit(False)))
     keys = [F.xxhash64("vector").alias("one"), F.xxhash64(F.lit("second"), "vector").alias("two")]
-    rows = written(columns.select("key", "fine", *keys, F.when(F.col("fine"), F.col("vector")).alias("vector")), "vectors")
-    fine = rows.where("fine")
-    reps = fine.groupBy("one", "two").agg(F.count("*").alias("weight"), F.first("vector").alias("vector"))
-    reps = written(reps.withColumn("ref", F.xxhash64("one", "two")), "distinct_vectors")
+    rows = written(columns.select("key", "fine", *keys, F.size("vector").alias("width")), "vectors")
+    ref = F.xxhash64("one", "two").alias("ref")
+    reps = written(rows.where("fine").groupBy("one", "two").agg(F.count("*").alias("weight"), F.first("width").alias("width")).select("*", ref), "distinct_vectors")
     links = None
-    for width in sorted(r[0] for r in reps.select(F.size("vector")).distinct().collect()):
-        own = _links(reps.where(F.size("vector") == width), width, cosine)
+    for width, n in sorted(tuple(r) for r in reps.groupBy("width").count().collect()):
+        own = _links(columns.where(F.col("fine") & (F.size("vector") == width)).select(*keys, "vector"), width, n, cosine)
         links = own if links is None else links.union(own)
     if links is None:
         return rows.select(F.col("key").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id"), F.col("key").isNotNull().alias("kept"))
@@ -154,7 +156,7 @@ def near_vectors(frame: DataFrame, key: str = "vec_id", vector: str = "embedding
     labels = components(links.where("a is not null").select("a", "b"))
     found = reps.join(counts, "ref", "left").join(labels.withColumnRenamed("node", "ref"), "ref", "left")
     found = found.select("one", "two", "ref", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n"), F.coalesce("label", "ref").alias("label"))
-    out = rows.drop("vector").join(found, ["one", "two"], "left")
+    out = rows.drop("width").join(found, ["one", "two"], "left")
     out = written(out.select("key", "fine", "n", "label"), "linked_vectors")
     smallest = out.where("fine").groupBy("label").agg(F.min("key").alias("smallest"))
     out = out.join(smallest, "label", "left")
@@ -162,9 +164,12 @@ def near_vectors(frame: DataFrame, key: str = "vec_id", vector: str = "embedding
     return out.select(F.col("key").alias(key), F.when(F.col("fine"), F.col("n")).otherwise(0).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("key") == component, F.lit(False)).alias("kept"))
 
 
-def _links(vectors: DataFrame, width: int, cosine: float) -> DataFrame:
-    """Rows `ref, n` (links of a vector, from one meeting) and `a, b` (two refs that hang together)."""
+def _links(vectors: DataFrame, width: int, n: int, cosine: float) -> DataFrame:
+    """Rows `ref, n` (links of a vector, from one meeting) and `a, b` (two refs that hang together) of the `n` different vectors of a width."""
     mean, axes = _axes(vectors, width)
+    element = dict(vectors.dtypes)["vector"]
+    kind = np.dtype(np.float32 if element == "array<float>" else np.float64)
+    reps = vectors.groupBy("one", "two").agg(F.count("*").alias("weight"), F.first("vector").alias("vector")).select(F.xxhash64("one", "two").alias("ref"), "weight", "vector")
     eps = math.sqrt(2 - 2 * cosine)
     grid, boxed = min(GRID, width), min(BOXED, width)
 
@@ -175,9 +180,9 @@ def _links(vectors: DataFrame, width: int, cosine: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["ref"], batch["weight"], batch["vector"], *(pa.array(cell[:, i]) for i in range(grid))], names=["ref", "weight", "vector", *(f"c{i}" for i in range(grid))])
 
     order = [*(f"c{i}" for i in range(grid)), "ref"]
-    celled = written(vectors.select("ref", "weight", "vector").mapInArrow(cells, "ref long, weight long, vector array<double>, " + ", ".join(f"c{i} int" for i in range(grid))), "cells")
-    n = celled.count()
-    parts = max(1, min(blobs.partitions(celled), -(-n // INTERVAL)))
+    celled = reps.mapInArrow(cells, f"ref long, weight long, vector {element}, " + ", ".join(f"c{i} int" for i in range(grid)))
+    planned = -(-n * width * kind.itemsize // blobs.PARTITION_BYTES)
+    parts = max(1, min(max(planned, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))), -(-n // INTERVAL)))
     sequence = celled.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
     def intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,11 +191,11 @@ def _links(vectors: DataFrame, width: int, cosine: float) -> DataFrame:
         number, held = 0, []
 
         def cut(table: pa.Table) -> pa.RecordBatch:
-            x = _unit(_matrix(table["vector"], width))
-            lead = (x - mean) @ axes[:, :boxed]
+            lead = (_unit(_matrix(table["vector"], width)) - mean) @ axes[:, :boxed]
+            values = table["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False)
             name = TaskContext.get().partitionId() << 32 | number
             first = table["c0"].to_numpy()
-            blob = [table["ref"].to_numpy().tobytes(), table["weight"].to_numpy().tobytes(), x.tobytes()]
+            blob = [table["ref"].to_numpy().tobytes(), table["weight"].to_numpy().tobytes(), values.tobytes()]
             return pa.RecordBatch.from_arrays(
                 [pa.array([name]), pa.array([int(first.min())], pa.int32()), pa.array([int(first.max())], pa.int32()), pa.array([lead.min(axis=0).tolist()]), pa.array([lead.max(axis=0).tolist()]), *(pa.array([b]) for b in blob)],
                 names=["interval", "from_cell", "to_cell", "low", "high", "refs", "weights", "x"],
@@ -207,20 +212,16 @@ def _links(vectors: DataFrame, width: int, cosine: float) -> DataFrame:
             yield cut(held[0])
 
     blocks = written(sequence.mapInArrow(intervals, "interval long, from_cell int, to_cell int, low array<double>, high array<double>, refs binary, weights binary, x binary"), "intervals")
-    boxes = blocks.select("interval", "from_cell", "to_cell", "low", "high")
-    one = boxes.select(F.col("interval").alias("i"), F.col("low").alias("low_i"), F.col("high").alias("high_i"), F.explode(F.sequence("from_cell", "to_cell")).alias("cell"))
-    two = boxes.select(F.col("interval").alias("j"), F.col("low").alias("low_j"), F.col("high").alias("high_j"), F.explode(F.sequence(F.col("from_cell") - 1, F.col("to_cell") + 1)).alias("cell"))
-    gap = F.zip_with(F.zip_with("low_j", "high_i", lambda a, b: a - b), F.zip_with("low_i", "high_j", lambda a, b: a - b), lambda a, b: F.greatest(a, b, F.lit(0.0)))
-    apart = F.aggregate(gap, F.lit(0.0), lambda s, g: s + g * g)
-    near = one.join(two, "cell").where((F.col("i") <= F.col("j")) & (apart <= eps * eps + 1e-9)).select("i", "j").distinct()
-    pairs = near.select("i", "j", F.explode(F.array("i", "j")).alias("interval")).distinct()
-    guests = pairs.join(blocks.select("interval", "refs", "weights", "x"), "interval")
-
-    def meet(table: pa.Table) -> pa.Table:
-        sides = []
-        for r in table.sort_by("interval").to_pylist():
-            x = np.frombuffer(r["x"]).reshape(-1, width)
-            sides.append({"ref": np.frombuffer(r["refs"], np.int64), "weight": np.frombuffer(r["weights"], np.int64), "x": x, "lead": (x - mean) @ axes[:, :boxed]})
+    one, two = (blocks.select(*[F.col(c).alias(f"{c}_{side}") for c in blocks.columns]) for side in "ij")
+    # a product of partitions: each task reads one of either side; a hash join would write each interval once for every other
+    pairs = one.join(two.hint("shuffle_replicate_nl"), _meets(eps))
+
+    def side(row: dict, of: str) -> dict:
+        x = _unit(np.frombuffer(row[f"x_{of}"], kind).astype(np.float64).reshape(-1, width))
+        return {"ref": np.frombuffer(row[f"refs_{of}"], np.int64), "weight": np.frombuffer(row[f"weights_{of}"], np.int64), "x": x, "lead": (x - mean) @ axes[:, :boxed]}
+
+    def meet(row: dict) -> pa.Table:
+        sides = [side(row, "i")] if row["interval_i"] == row["interval_j"] else [side(row, "i"), side(row, "j")]
         meeting = _Meeting(sides[0], sides[1] if len(sides) > 1 else None, cosine)
         meeting.join(0, len(sides[0]["x"]), 0, len(sides[-1]["x"]))
         ref = np.concatenate([s["ref"] for s in sides])
@@ -241,5 +242,21 @@ def _links(vectors: DataFrame, width: int, cosine: float) -> DataFrame:
             }
         )
 
-    met = guests.repartition(blobs.partitions(blocks), "i", "j").groupBy("i", "j").applyInArrow(meet, "ref long, n long, a long, b long")
-    return written(met, "meetings")
+    def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield from meet(batch.slice(k, 1).to_pylist()[0]).combine_chunks().to_batches()
+
+    own = [f"{c}_{side}" for side in "ij" for c in ("interval", "refs", "weights", "x")]
+    return written(pairs.select(*own).mapInArrow(meetings, "ref long, n long, a long, b long"), "meetings")
+
+
+def _meets(eps: float) -> Column:
+    """Whether two intervals are near, for one order of each pair; which one changes, so that about half the pairs of two partitions are met in either order."""
+    i, j = F.col("interval_i"), F.col("interval_j")
+    number = lambda x: x + F.shiftright(x, 32)
+    ordered = (i == j) | ((i < j) == ((number(i) + number(j)) % 2 == 0))
+    touch = (F.col("from_cell_j") <= F.col("to_cell_i") + 1) & (F.col("from_cell_i") <= F.col("to_cell_j") + 1)
+    gap = F.zip_with(F.zip_with("low_j", "high_i", lambda a, b: a - b), F.zip_with("low_i", "high_j", lambda a, b: a - b), lambda a, b: F.greatest(a, b, F.lit(0.0)))
+    apart = F.aggregate(gap, F.lit(0.0), lambda s, g: s + g * g)
+    return ordered & touch & (apart <= eps * eps + 1e-9)
