@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart import schemas as S
@@ -18,6 +18,7 @@ from sparkmart.session import in_parallel, scratch_folder
 from sparkmart.sources.csv_source import read_source, write_source
 
 ROW = S.ROW_NUMBER
+BLOCK_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
 def columns_of(table: str) -> str:
@@ -43,19 +44,31 @@ for _t in ("student_info", "student_vle"):
     )
 
 
+#: Bytes of a block that cuts through records, and blocks of a source from which on they are larger.
+SMALL_BLOCK, SMALL_BLOCKS = 100_000, 500
+
+
+def cutting_block_bytes(spark: SparkSession, path: str) -> int:
+    """Small blocks, so that many records are cut; a large source has larger ones, up to the session's, as each costs a task in every pass."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    session = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BLOCK_BYTES))
+    return max(SMALL_BLOCK, min(size // SMALL_BLOCKS, session))
+
+
 def csv_line_breaks(w: Workspace) -> DataFrame:
     """The clicks as a source whose quoted values hold line breaks and quotes, read in blocks that cut through records."""
-    spark, block_bytes = w.spark, "spark.sql.files.maxPartitionBytes"
+    spark = w.spark
     text = F.concat("code_presentation", F.lit('\n"'), "id_site", F.lit('"\r\n,'))
     folder = scratch_folder(spark, "csv")
     write_source(w.raw("student_vle").withColumn("code_presentation", text), folder, "student_vle")
     found = scratch_folder(spark, "csv_read")
-    before = spark.conf.get(block_bytes)
-    spark.conf.set(block_bytes, "100000")
+    before = spark.conf.get(BLOCK_BYTES)
+    spark.conf.set(BLOCK_BYTES, str(cutting_block_bytes(spark, f"{folder}/{S.SOURCE_FILES['student_vle']}")))
     try:
         read_source(spark, folder, "student_vle").write.parquet(found)
     finally:
-        spark.conf.set(block_bytes, before)
+        spark.conf.set(BLOCK_BYTES, before)
     return spark.read.parquet(found)
 
 

@@ -24,8 +24,8 @@ class _Block:
         self.whole: list[tuple[int, str]] = []
         self.pieces: list[tuple[int, str]] = []
 
-    def take(self, lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the lines that are records by themselves, and their numbers within the block."""
+    def take(self, lines: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First and last lines of the records that begin and end among these, and the numbers of all lines within the block."""
         odd = (pc.count_substring(lines, '"').to_numpy(zero_copy_only=False) & 1).astype(np.int64)
         after = (self.inside + np.cumsum(odd)) & 1
         before = after ^ odd
@@ -34,16 +34,21 @@ class _Block:
         single = begins & (after == 0)
         blank = pc.is_in(lines, pa.array(["", "\r"], lines.type)).to_numpy(zero_copy_only=False)
         self.blank += int(np.count_nonzero(single & blank))
-        for i in np.flatnonzero(~single).tolist():
-            if begins[i]:
-                self.open_number = int(number[i])
-            self.open.append(lines[i].as_py())
-            if not after[i]:
+        first, last = np.flatnonzero(begins), np.flatnonzero(after == 0)
+        if not len(after):
+            return first, last, number
+        if not begins[0]:  # of a record that is open already
+            self.open += lines[: last[0] + 1 if len(last) else len(after)].to_pylist()
+            if len(last):
                 self._close()
-        if len(after):
-            self.inside = int(after[-1])
-            self.records += int(np.count_nonzero(begins))
-        return np.flatnonzero(single), number
+            last = last[1:]
+        if len(first) > len(last):  # the last one stays open
+            self.open_number = int(number[first[-1]])
+            self.open += lines[first[-1] :].to_pylist()
+            first = first[:-1]
+        self.inside = int(after[-1])
+        self.records += int(np.count_nonzero(begins))
+        return first, last, number
 
     def _close(self) -> None:
         text = "\n".join(self.open).removesuffix("\r")
@@ -60,6 +65,19 @@ class _Block:
             self.open = []
 
 
+def _joined(lines: pa.Array, first: np.ndarray, last: np.ndarray) -> pa.Array:
+    """Texts of the records that go from a first to a last line."""
+    if (first == last).all():
+        texts = lines.take(pa.array(first))
+    else:
+        ends = np.cumsum(last - first + 1)
+        starts = ends - (last - first + 1)
+        at = np.repeat(first - starts, ends - starts) + np.arange(ends[-1])
+        offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+        texts = pc.binary_join(pa.ListArray.from_arrays(offsets, lines.take(pa.array(at))), "\n")
+    return pc.replace_substring_regex(texts, "\r$", "")
+
+
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[dict, pa.Array]]:
     """Lines of one block after another."""
     files = batch["file"].dictionary_encode().indices.to_numpy(zero_copy_only=False)
@@ -109,10 +127,9 @@ def records_of_blocks(what: str) -> Callable[[Batches], Batches]:
                 if block is None or (block.file, block.block) != (row["file"], row["block"]):
                     yield from finished(block)
                     block = _Block(row)
-                single, number = block.take(lines)
-                if what == "whole" and len(single):
-                    texts = pc.replace_substring_regex(lines.take(pa.array(single)), "\r$", "")
-                    yield rows(block, number[single], texts)
+                first, last, number = block.take(lines)
+                if what == "whole" and len(first):
+                    yield rows(block, number[first], _joined(lines, first, last))
         yield from finished(block)
 
     return scan
