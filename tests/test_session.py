@@ -34,7 +34,7 @@ def test_nested_jobs_of_a_small_driver_end(spark, monkeypatch):
 
 
 def test_stored_tables_keep_rows_and_parts_when_garbage_is_collected(spark, monkeypatch):
-    monkeypatch.setattr(session, "JOB_HEAP", 1 << 60)
+    monkeypatch.setattr(session, "SMALL_HEAP", 1 << 60)
     monkeypatch.setattr(session, "TAKEN", 0.0)
     folder = session.scratch_folder(spark, "stored")
     session.store(spark.range(10).selectExpr("id", "id % 2 AS part"), folder, "part")

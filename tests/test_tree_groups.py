@@ -62,3 +62,14 @@ def test_rows_of_many_batches_stay_in_their_order(spark, monkeypatch):
     assert sorted(r.id for r in rows) == list(range(50))
     for r in rows:
         assert np.isclose(r.contributions[0], sum(i / 2 if r.x > i else -i / 2 for i in range(3)))
+
+
+def test_rows_are_explained_once(spark):
+    """Exploding the factors infers a filter on them; it stays above the explained rows and their shuffle."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import functions as F
+
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(spark.range(50).selectExpr("id", "CAST(id AS double) AS x"))
+    leaves = spark.createDataFrame([(0, 1.0, [0], [3.0], [float("inf")], [0, 1], [1, 1])], T.LEAF)
+    rows = T.tree_contributions(df.repartition(3), leaves, 1).select("id", F.posexplode("contributions"))
+    assert rows._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
