@@ -79,7 +79,8 @@ def _heap() -> JavaObject:
     return SparkContext._active_spark_context._jvm.java.lang.Runtime.getRuntime()
 
 
-def _jobs_at_a_time() -> int:
+def jobs_at_a_time() -> int:
+    """Jobs that the driver's heap has room for."""
     spark = SparkSession.getActiveSession() or SparkSession._instantiatedSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return _heap().maxMemory() // (JOB_HEAP + TASK_HEAP * partitions)
@@ -91,7 +92,7 @@ def in_parallel(actions: list[Callable[[], Result]]) -> list[Result]:
     The driver's heap has to hold the plans and task states of all that run, so
     a small one takes fewer at a time, the larger the jobs are.
     """
-    if len(actions) < 2 or (jobs := min(len(actions), _jobs_at_a_time())) < 2:
+    if len(actions) < 2 or (jobs := min(len(actions), jobs_at_a_time())) < 2:
         return [action() for action in actions]
     with ThreadPoolExecutor(jobs) as pool:
         return list(pool.map(lambda action: action(), actions))
